@@ -17,9 +17,10 @@ ODD = ["á ́b", "ΑΣ ΣΑΣ", "<|endoftext|> x<|startoftext|>y", "don't DON'T
 
 
 def test_words_encode_like_whole_texts(tokenizer):
-    enc = tf.WordEncoder(tf.default_tokenizer(), cache_words=3)
-    for t in [*ODD, " ".join(ODD), "", " "]:
-        assert enc.encode(t) == tokenizer.encode(t, add_special_tokens=False).ids
+    enc = tf.WordEncoder(tf.default_tokenizer(), "<u2", cache_words=3)
+    assert enc.mark is not None
+    for t in [*ODD, " ".join(ODD), "", " ", "~ ~~ a~b ~", "one two one", "<|STARTOFTEXT|> A, b.", "X., Y,. z... 'S. I'M. é. A\u0301, \u212a. K.", "A.\u00a0b, c.\u2003D"]:
+        assert np.frombuffer(enc.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def test_round_trip(spark, documents, hard_rows, tokenizer, tmp_path):
