@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import new_path, table
 
 END_ID = 2
-#: Words whose ids a worker remembers; the memory is cleared when full.
+#: Words of a generation of a worker's memory.
 CACHE_WORDS = 600_000
 
 WRITTEN = "shard int, docs long, ids long, name string"
@@ -52,7 +52,9 @@ class WordEncoder:
 
     Such a tokenizer never joins across a blank, so a text's ids are its words' ids in
     turn, and each distinct word is encoded once.  New words go to the tokenizer in one
-    call, with a mark of a known id between them.
+    call: words of letters alone end where an id ends a word, others have a mark of a
+    known id between them.  The memory has two generations: when the young one is full
+    it becomes the old one, from which words are taken back as they come up.
     """
 
     WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,6 +68,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind, self.limit = np.dtype(kind), cache_words
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         mark = self._ids(self.MARK)
         self.mark = mark[0] if len(mark) == 1 and self._ids(f"a {self.MARK} a") == [*self._ids("a"), *mark, *self._ids("a")] else None
         self.folds = self._ids("Abc, Def. gH, IJ.") == [*self._ids("abc"), *self._ids(","), *self._ids("def"), *self._ids("."), *self._ids("gh"), *self._ids(","), *self._ids("ij"), *self._ids(".")]
@@ -73,16 +79,26 @@ class WordEncoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, missing: list[str]) -> None:
-        plain = [w for w in missing if self.MARK not in w] if self.mark is not None else []
-        ids = np.array(self._ids(f" {self.MARK} ".join(plain)), dtype=self.kind)
-        ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)] if plain else []
-        if len(ends) != len(plain):
-            plain, ends = [], []
+    def _pack(self, words: list[str], ids: np.ndarray, cuts: list[int], gap: int) -> bool:
+        """Remembers words[k] = ids from the last cut (and ``gap`` ids on) to cuts[k]."""
+        if len(cuts) != len(words):
+            return False
         packed, size, start = ids.tobytes(), self.kind.itemsize, 0
-        for w, end in zip(plain, ends):
+        for w, end in zip(words, cuts):
             self.known[w] = packed[start * size : end * size]
-            start = end + 1
+            start = end + gap
+        return True
+
+    def _learn(self, missing: list[str]) -> None:
+        letters = [w for w in missing if w.isalpha()]
+        if letters:
+            ids = np.array(self._ids(" ".join(letters)), dtype=self.kind)
+            if self._pack(letters, ids, (np.flatnonzero(self.ends[ids]) + 1).tolist(), 0):
+                missing = [w for w in missing if not w.isalpha()]
+        plain = [w for w in missing if self.MARK not in w] if self.mark is not None else []
+        if plain:
+            ids = np.array(self._ids(f" {self.MARK} ".join(plain)), dtype=self.kind)
+            self._pack(plain, ids, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], 1)
         for w in missing:
             if w not in self.known:
                 self.known[w] = np.array(self._ids(w), dtype=self.kind).tobytes()
@@ -98,11 +114,13 @@ class WordEncoder:
         found = self._words(text)
         ids = list(map(self.known.get, found))
         if None in ids:
-            missing = list(dict.fromkeys(w for w, known in zip(found, ids) if known is None))
+            missing = dict.fromkeys(w for w, known in zip(found, ids) if known is None)
             if len(self.known) > self.limit:
-                self.known.clear()
-                missing = list(dict.fromkeys(found))
-            self._learn(missing)
+                self.old, self.known = self.known, {}
+                missing = dict.fromkeys(found)
+            again = {w: self.old[w] for w in missing if w in self.old}
+            self.known.update(again)
+            self._learn([w for w in missing if w not in again])
             ids = map(self.known.__getitem__, found)
         return b"".join(ids)
 
