@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op1_decontamination
+from .importance import op5_importance_resampling
 from .mixing import OP3_SQL, op3_mixing
+from .preference import OP10_SQL, op10_preference
+from .quality_rules import op7_quality_rules
+from .secrets import OP6_SQL, op6_secrets
 from .simhash import op4_simhash
 from .token_files import op8_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op5_importance_resampling": op5_importance_resampling,
+    "op6_secrets": op6_secrets,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
+    "op10_preference": op10_preference,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": OP3_SQL,
+    "op6_secrets": OP6_SQL,
+    "op10_preference": OP10_SQL,
 }
