@@ -75,7 +75,7 @@ def preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
         _spans(F.col("p0")).alias("chosen_mask"), _spans(F.col("p1")).alias("rejected_mask"),
     )
     none = F.array().cast("array<struct<start:int,end:int>>")
-    empty = {"prefix_turns": F.lit(0), "prompt": F.lit(""), "chosen": F.lit(""), "rejected": F.lit(""), "chosen_mask": none, "rejected_mask": none}
+    empty = {"prefix_turns": F.lit(0).cast("long"), "prompt": F.lit(""), "chosen": F.lit(""), "rejected": F.lit(""), "chosen_mask": none, "rejected_mask": none}
     return pairs.join(done, F.col("pair_id") == F.col("pair"), "left").select("pair_id", "chosen_id", "rejected_id", *[F.coalesce(c, v).alias(c) for c, v in empty.items()])
 
 
@@ -115,7 +115,7 @@ spans AS (
   FROM told)
 SELECT pair_id, max(conv_id) FILTER (side = 0) AS chosen_id,
        (SELECT max(conv_id) FROM placed q WHERE q.pair_id = s.pair_id AND q.side = 1) AS rejected_id,
-       any_value(prefix_turns)::INT AS prefix_turns,
+       any_value(prefix_turns)::BIGINT AS prefix_turns,
        coalesce(string_agg(out, '' ORDER BY place) FILTER (part = 2), '') AS prompt,
        coalesce(string_agg(out, '' ORDER BY place) FILTER (part = 0), '') AS chosen,
        coalesce(string_agg(out, '' ORDER BY place) FILTER (part = 1), '') AS rejected,

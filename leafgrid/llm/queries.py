@@ -14,9 +14,11 @@ from .quality_rules import op7_quality_rules
 from .secrets import OP6_SQL, op6_secrets
 from .simhash import op4_simhash
 from .token_files import op8_token_files
+from .toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
     "op5_importance_resampling": op5_importance_resampling,
