@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op1_decontamination
 from .importance import op5_importance_resampling
+from .language import op9_language
 from .mixing import OP3_SQL, op3_mixing
 from .preference import OP10_SQL, op10_preference
 from .quality_rules import op7_quality_rules
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
+    "op9_language": op9_language,
     "op10_preference": op10_preference,
 }
 
