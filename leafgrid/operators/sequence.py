@@ -87,7 +87,7 @@ def stronger_replaces(df: DataFrame, keys: Keys, pos: str, strength: str, gap: i
         return F.when(far, F.concat(kept, F.array(x))).when(x["s"] > last["s"], swapped).otherwise(kept)
 
     item = F.struct(F.col(pos).cast("int").alias("p"), F.col(strength).cast("double").alias("s"))
-    return _fold(df, keys, item, zero, step, "_kept").select(*keys, F.explode("_kept").alias("k")).select(*keys, F.col("k.p").alias(pos), F.col("k.s").alias(strength))
+    return _fold(df, keys, item, zero, step, "_kept").select(*keys, F.explode("_kept").alias("_x")).select(*keys, F.col("_x.p").alias(pos), F.col("_x.s").alias(strength))
 
 
 def spacings(df: DataFrame, keys: Keys, pos: str) -> DataFrame:
