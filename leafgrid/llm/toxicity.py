@@ -427,7 +427,7 @@ def scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Fits on the learning folds and scores every row.
 
-    Null and empty texts, and texts without a unit, score 0.  Null, repeated or dangling
+    Null and empty texts, and texts without a unit, score as having no insult.  Null, repeated or dangling
     labels are harmless; without labels of both kinds nothing is predicted toxic.  A null
     doc_id is not held out and never learned from.  Repeated rows stay; an empty table
     gives no rows; other columns are ignored.
