@@ -7,10 +7,10 @@ as if it had ``DRAWS`` of them, so that length does not decide.  Adding Gumbel n
 and keeping the k largest sums draws k documents without replacement in proportion to
 their weights.
 
-The trusted model is fitted on at most ``TRUSTED_ROWS`` labelled rows (a hash-ordered
-sample, the documented bound of the classifier); the raw model counts every document.
-k is the number of documents, counted over the whole corpus, whose ratio is at least
-that of the junk/clean cut learned on the same bounded sample.  The k-th largest key
+The classifier is fitted on at most ``TRUSTED_ROWS`` labelled rows (a hash-ordered sample,
+its documented bound): one half makes the trusted model, the other the cut between junk and
+clean.  The raw model counts every document.  k is the number of documents, counted over the
+whole corpus, whose ratio is at least the cut.  The k-th largest key
 is found exactly from histograms, so no sort of the corpus and no driver-side list.
 """
 
@@ -76,9 +76,12 @@ def pieces(texts: pa.Array, seen: Hashes) -> Iterator[tuple[int, int, np.ndarray
 
 
 def labelled_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` labelled ids in hash order: ``id, good``."""
+    """At most ``rows`` labelled ids in hash order: ``id, good, fit``.  The half with
+    ``fit`` counts as trusted, the other half sets the cut: a model rates the texts it has
+    counted too high to be cut by them."""
     one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("id"), F.col("good").cast("int").alias("good"))
+    half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)) == 0
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("id"), F.col("good").cast("int").alias("good"), half.alias("fit"))
 
 
 def counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +97,7 @@ def counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], ["b", "raw", "good"])
 
-    flagged = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select("text", "good")
+    flagged = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select("text", F.when(F.col("fit"), F.col("good")).alias("good"))
     rows = flagged.mapInArrow(count, "b long, raw long, good long").groupBy("b").agg(F.sum("raw"), F.sum("good")).collect()
     raw, good = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
     for b, r, g in rows:  # at most two rows per bucket order, whatever the corpus
@@ -175,7 +178,7 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 11, rows: int = TRU
     sample = written(labelled_sample(labels, rows), "sample")
     raw, good = counts(docs, sample)
     weighed = written(scored(docs, log_ratios(raw, good)), "scored")
-    known = weighed.select(F.col("row.doc_id").alias("doc_id"), "ratio").join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
+    known = weighed.select(F.col("row.doc_id").alias("doc_id"), "ratio").join(F.broadcast(sample.where("not fit")), F.col("doc_id") == F.col("id"))
     seen = known.select("ratio", "good").limit(4 * rows).collect()
     cut = learned_cut(np.array([r[0] for r in seen]), np.array([r[1] > 0 for r in seen])) if seen else float("-inf")
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row.doc_id", "row.text"), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
