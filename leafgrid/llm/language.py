@@ -49,14 +49,15 @@ def words(text: str | None) -> list[str]:
 
 
 def feature_rows(word: str, lexicons: list[set[str]]) -> list[int]:
-    """Hashed features of one word; very long words keep those of their ends and a
-    bounded number of n-grams spread over the whole word."""
-    w = f"^{word}$"
+    """Hashed features of one word, over its bytes; very long words keep those of their
+    ends and a bounded number of n-grams spread over the whole word."""
+    w = f"^{word}$".encode("utf-8", "surrogatepass")
     step = 1 + len(w) // 256
-    names = [f"w{word}", f"p{w[:3]}", f"p{w[:4]}", f"s{w[-3:]}", f"s{w[-4:]}", f"s{w[-5:]}"]
-    names += [w[k : k + n] for n in (1, 2, 3) for k in range(0, len(w) - n + 1, step)]
-    names += [f"lex{k}" for k, lex in enumerate(lexicons) if word in lex]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) & (FEATURES - 1) for x in names]
+    crc, mask = zlib.crc32, FEATURES - 1
+    out = [crc(b"w" + w) & mask, crc(b"p" + w[:4]) & mask, crc(b"s" + w[-4:]) & mask, crc(b"t" + w[-6:]) & mask]
+    out += [crc(w[k : k + 2]) & mask for k in range(0, len(w) - 1, step)]
+    out += [crc(w[k : k + 3]) & mask for k in range(0, len(w) - 2, step)]
+    return out + [crc(b"lex%d" % k) & mask for k, lex in enumerate(lexicons) if word in lex]
 
 
 @dataclass
@@ -163,30 +164,60 @@ def train(texts: list[str | None], langs: list[str], epochs: int = EPOCHS) -> Mo
     return Model(languages, weights, trans, start, lexicons)
 
 
-_WORDS: dict[str, dict[str, np.ndarray | None]] = {}
+class Memory(dict):
+    """The number of each word met, with its scores and letters in arrays; 0 stands for a
+    word without a letter.  Starts afresh when full."""
 
+    def __init__(self, model: Model, limit: int = CACHE):
+        super().__init__()
+        self.model, self.limit = model, limit
+        self.reset()
 
-def predict(texts: list[str | None], model: Model, known: dict[str, np.ndarray | None]) -> tuple[list[str], np.ndarray]:
+    def reset(self) -> None:
+        self.clear()
+        self.scores = np.zeros((1024, max(1, len(self.model.languages))), dtype=np.float32)
+        self.letters = np.zeros(1024, dtype=np.int64)
+        self.used = 1
+
+    def __missing__(self, word: str) -> int:
+        score = self.model.emission(word)
+        if score is None or not len(score):
+            self[word] = 0
+            return 0
+        if self.used == len(self.letters):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+        k = self.used
+        self.scores[k], self.letters[k] = score, len(word)
+        self.used += 1
+        self[word] = k
+        return k
+
+
+_WORDS: dict[str, Memory] = {}
+
+
+def predict(texts: list[str | None], memory: Memory) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
-    if len(known) > CACHE:
-        known.clear()
-    scores, letters, owner = [], [], []
-    for k, t in enumerate(texts):
-        for w in words(t):
-            if w not in known:
-                known[w] = model.emission(w)
-            if (s := known[w]) is not None:
-                scores.append(s)
-                letters.append(len(w))
-                owner.append(k)
+    model = memory.model
+    if len(memory) > memory.limit:
+        memory.reset()
+    met = memory.__getitem__
+    numbers, lengths = [], []
+    for t in texts:
+        own = words(t)
+        numbers += map(met, own)
+        lengths.append(len(own))
+    rows = np.array(numbers, dtype=np.int64)
+    owner = np.repeat(np.arange(len(texts)), lengths)[rows > 0]
+    rows = rows[rows > 0]
     share = np.zeros((len(texts), max(1, len(model.languages))))
-    if scores and model.languages:
-        at = np.array(owner)
-        first = np.ones(len(at), dtype=bool)
-        first[1:] = at[1:] != at[:-1]
-        p = posteriors(np.array(scores), first, model.trans, model.start) * np.array(letters)[:, None]
+    if len(rows) and model.languages:
+        first = np.ones(len(rows), dtype=bool)
+        first[1:] = owner[1:] != owner[:-1]
+        p = posteriors(memory.scores[rows].astype(float), first, model.trans, model.start) * memory.letters[rows][:, None]
         for j in range(share.shape[1]):
-            share[:, j] = np.bincount(at, p[:, j], len(texts))
+            share[:, j] = np.bincount(owner, p[:, j], len(texts))
         share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
     best = share.argmax(axis=1)
     top = np.minimum(share.max(axis=1), 1.0)
@@ -214,13 +245,13 @@ def identify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WORDS.setdefault(name, {})
+        memory = _WORDS.setdefault(name, Memory(shared.value))
         for old in [k for k in _WORDS if k != name]:
             del _WORDS[old]
         for batch in batches:
             lang, score = [], []
             for k in range(0, batch.num_rows, 100):
-                a, b = predict(batch.column(1)[k : k + 100].to_pylist(), shared.value, known)
+                a, b = predict(batch.column(1)[k : k + 100].to_pylist(), memory)
                 lang += a
                 score.append(b)
             value = np.concatenate(score) if score else np.zeros(0)
