@@ -71,23 +71,35 @@ def repeated_words(words_: Column, width: int = WINDOW) -> Column:
         return let(pairs, same)
 
     n = F.size(words_)
-    windows = F.when(n >= width, F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.xxhash64(F.slice(words_, i, width))))
+    hashed = F.transform(words_, lambda x: F.xxhash64(x))
+    starts = F.sequence(F.lit(1), n - (width - 1))
+    windows = let(hashed, lambda h: F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, width))))
     counted = let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(repeats(h)))
     return F.when(n > width, counted).otherwise(F.lit(0))
 
 
+def token_hashes(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)), lambda x: F.xxhash64(x))
+
+
+def first_bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def pair_bucket(h: Column, i: Column) -> Column:
+    """Of the tokens at ``i - 1`` and ``i``."""
+    return first_bucket(F.xxhash64(F.get(h, i - 1), F.get(h, i))) + F.lit(BUCKETS)
+
+
 def grams(text: Column) -> Column:
     """Bucket numbers of the token unigrams, then of the bigrams."""
 
     def buckets(h: Column) -> Column:
-        uni = F.transform(h, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        pair = F.transform(
-            F.sequence(F.lit(1), F.size(h) - 1),
-            lambda i: F.xxhash64(F.get(h, i - 1), F.get(h, i)).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + F.lit(BUCKETS),
-        )
-        return F.when(F.size(h) > 1, F.concat(uni, pair)).otherwise(uni)
+        uni = F.transform(h, lambda x: first_bucket(x))
+        pairs = F.transform(F.sequence(F.lit(1), F.size(h) - 1), lambda i: pair_bucket(h, i))
+        return F.when(F.size(h) > 1, F.concat(uni, pairs)).otherwise(uni)
 
-    return let(F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)), lambda x: F.xxhash64(x)), buckets)
+    return let(token_hashes(text), buckets)
 
 
 def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -128,9 +140,12 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     split = text.select("doc_id", "t", words(F.col("t")).alias("w"))
 
-    def mean(g: Column) -> Column:
-        total = F.aggregate(g, F.lit(0.0), lambda acc, b: acc + F.get(constant, b))
-        return total / (F.size(g) + F.lit(SHRINK))
+    def mean(h: Column) -> Column:
+        uni = F.aggregate(h, F.lit(0.0), lambda acc, x: acc + F.get(constant, first_bucket(x)))
+        pairs = F.sequence(F.lit(1), F.size(h) - 1)
+        bi = F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + F.get(constant, pair_bucket(h, i)))
+        n = F.size(h)
+        return F.when(n > 1, (uni + bi) / (2 * n - 1 + SHRINK)).otherwise(uni / (n + SHRINK))
 
     counted = split.select(
         "doc_id",
@@ -139,7 +154,7 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows
         (F.length("t") - F.length(without(F.col("t"), SYMBOLS))).cast("long").alias("n_symbols"),
         duplicate_lines(F.col("t")).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("w")).cast("long").alias("n_repeat_words"),
-        let(grams(F.col("t")), mean).alias("log_ratio"),
+        let(token_hashes(F.col("t")), mean).alias("log_ratio"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     kept = ~F.col("base_failed") & (F.col("log_ratio") >= threshold)
