@@ -37,7 +37,7 @@ PRIOR = 2_000.0
 #: N-grams of ratio 0 that a document's mean is smoothed with.
 SHRINK = 8.0
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-PIECE = 400_000
+PIECE = 100_000
 
 
 class Hashes(dict):
