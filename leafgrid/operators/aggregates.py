@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def mode_first(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
     """The most frequent value of each key, the one seen first on ties: ``mode, votes, share``."""
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    best = F.max_by(F.struct(F.col(value).alias("mode"), F.col("n").alias("votes")), F.struct("n", -F.col("first")))
+    best = F.min_by(F.struct(F.col(value).alias("mode"), F.col("n").alias("votes")), F.struct(-F.col("n"), F.col("first")))
     out = counted.groupBy(*keys).agg(best.alias("b"), F.sum("n").alias("all"))
     return out.select(*keys, "b.mode", "b.votes", (F.col("b.votes") / F.col("all")).alias("share"))
 
