@@ -165,3 +165,40 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leaks: documents that leak nothing have no row."""
     got = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.drop("text_hash")
+
+
+def _sql_list(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+#: The same by lists and string keys; private-use characters are written with chr().
+OP1_SQL = rf"""
+WITH texts AS (SELECT 'd' AS kind, doc_id AS id, text FROM (SELECT DISTINCT doc_id, text FROM documents)
+  UNION ALL SELECT 'b', item_id, min(text) FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+tok AS (SELECT row_number() OVER () AS u, kind, id, regexp_extract_all(lower(regexp_replace(
+    translate(coalesce(text, ''), chr(57344) || chr(57345) || chr(57346) || chr(57347), ''),
+    '{NAME_PATTERN}', '\1' || chr(57346) || '\2' || chr(57344), 'g')), '{TOKEN_PATTERN}', 1) AS w FROM texts),
+num AS (SELECT u, kind, id, w, list_transform(w, lambda x: (x >= '0' AND x < ':') OR x IN ({_sql_list(NUMBER_WORDS)})) AS n FROM tok WHERE len(w) > 0),
+canon AS (SELECT u, kind, id, w, list_transform(range(1, len(w) + 1), lambda i: CASE WHEN n[i] THEN chr(57345)
+    WHEN w[i] >= chr(57346) AND w[i] < chr(57347) THEN chr(57346)
+    WHEN i > 1 AND n[i-1] AND w[i] IN ({_sql_list(UNITS)}) THEN chr(57347) ELSE w[i] END) AS c FROM num),
+items AS (SELECT u, id AS item_id, w, c, least(len(c), {WINDOW}) AS n FROM canon WHERE kind = 'b'),
+own AS (SELECT item_id, n, unnest(range(1, len(c) - n + 2)) AS p, c FROM items),
+bench AS (SELECT item_id, n, array_to_string(c[p:p+n-1], ' ') AS k, min(p) AS p FROM own
+  WHERE len(list_filter(c[p:p+n-1], lambda x: NOT (x >= chr(57345) AND x < chr(57348)))) >= ceil(n * {FIXED}) GROUP BY ALL),
+total AS (SELECT item_id, count(*) AS item_windows FROM bench GROUP BY 1),
+sizes AS (SELECT DISTINCT n FROM items),
+docs AS (SELECT u, n, unnest(range(1, len(c) - n + 2)) AS p, c FROM canon, sizes WHERE kind = 'd' AND len(c) >= n),
+found AS (SELECT u, n, p, array_to_string(c[p:p+n-1], ' ') AS k FROM docs),
+once AS (SELECT u, item_id, b.p AS item_pos, min(f.p) AS pos, any_value(n) AS n FROM found f JOIN bench b USING (n, k) GROUP BY ALL),
+hits AS (SELECT u, item_id, count(*) AS matched, list(struct_pack(i := item_pos, d := pos, n := n)) AS pairs FROM once GROUP BY ALL),
+covered AS (SELECT h.*, item_windows FROM hits h JOIN total USING (item_id) WHERE matched >= ceil({COVERAGE} * item_windows)),
+places AS (SELECT u, item_id, unnest(pairs) AS x FROM covered),
+cells AS (SELECT DISTINCT p.u, p.item_id, i.w[x.i + o.k] AS a, d.w[x.d + o.k] AS b
+  FROM places p JOIN items i USING (item_id) JOIN canon d ON d.u = p.u, (SELECT unnest(range(0, {WINDOW})) AS k) o
+  WHERE o.k < x.n AND i.c[x.i + o.k] >= chr(57345) AND i.c[x.i + o.k] < chr(57348)),
+slots AS (SELECT u, item_id, count(DISTINCT a)::INT AS slots, (count(*) - count(DISTINCT a))::INT AS slot_conflicts FROM cells GROUP BY ALL)
+SELECT d.id AS doc_id, c.item_id, c.matched, c.item_windows, coalesce(slots, 0)::INT AS slots, coalesce(slot_conflicts, 0)::INT AS slot_conflicts
+FROM covered c JOIN canon d USING (u) LEFT JOIN slots s USING (u, item_id)
+WHERE coalesce(slot_conflicts, 0) <= floor({CONFLICTS} * coalesce(slots, 0))
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .decontamination import op1_decontamination
+from .decontamination import OP1_SQL, op1_decontamination
 from .importance import op5_importance_resampling
 from .language import op9_language
 from .mixing import OP3_SQL, op3_mixing
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
     "op3_mixing": OP3_SQL,
     "op6_secrets": OP6_SQL,
     "op10_preference": OP10_SQL,
