@@ -72,8 +72,8 @@ def repeated_words(words_: Column, width: int = WINDOW) -> Column:
 
     n = F.size(words_)
     hashed = F.transform(words_, lambda x: F.xxhash64(x))
-    starts = F.sequence(F.lit(1), n - (width - 1))
-    windows = let(hashed, lambda h: F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, width))))
+    starts = F.sequence(F.lit(0), n - width)
+    windows = let(hashed, lambda h: F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)])))
     counted = let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(repeats(h)))
     return F.when(n > width, counted).otherwise(F.lit(0))
 
