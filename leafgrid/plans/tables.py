@@ -574,3 +574,52 @@ def step_plan(spark, sf):
 def dict_merge_last_wins(spark, sf):
     e = t(spark, sf, "events")
     return e.groupBy("user_id").agg(F.max_by("event_type", F.struct(micros("ts"), "event_id")).alias("last_type"), F.array_sort(F.collect_set("event_type")).alias("types"))
+
+
+# --- layout steps on tables ---------------------------------------------------------
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 1 ELSE 2 END AS side, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS i FROM conversations WHERE role IN ('user', 'assistant'))
+SELECT conv_id, i, side, turn, row_number() OVER (PARTITION BY conv_id ORDER BY i, side) AS pos FROM c
+""")
+def interleave(spark, sf):
+    """Two ordered sides of a key taken in turn: row i of the first, then of the second."""
+    c = t(spark, sf, "conversations").where("role in ('user', 'assistant')")
+    c = c.withColumn("i", F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")).cast("long"))
+    c = c.withColumn("side", F.when(F.col("role") == "user", 1).otherwise(2))
+    pos = F.row_number().over(Window.partitionBy("conv_id").orderBy("i", "side")).cast("long")
+    return c.select("conv_id", "i", "side", "turn", pos.alias("pos"))
+
+
+@query("""
+WITH c AS (SELECT p_brand, p_partkey, p_retailprice AS x, p_size AS s FROM part WHERE p_size >= 5),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY x, p_partkey) AS k, first(x) OVER w AS x0, first(s) OVER w AS s0, first(p_partkey) OVER w AS o FROM c WINDOW w AS (PARTITION BY p_brand ORDER BY x, p_partkey))
+SELECT p_brand, any_value(o) AS outer_id, min_by(p_partkey, k) FILTER (k > 1 AND x - x0 <= 80 AND abs(s - s0) <= 10) AS inner_id FROM r GROUP BY p_brand
+""")
+def outer_pair(spark, sf):
+    """The first valid line of a key, and the next one near enough and alike."""
+    w = Window.partitionBy("p_brand").orderBy("p_retailprice", "p_partkey")
+    c = t(spark, sf, "part").where("p_size >= 5").withColumn("k", F.row_number().over(w)).withColumn("o", F.first(F.struct("p_partkey", "p_retailprice", "p_size")).over(w))
+    ok = (F.col("k") > 1) & (F.col("p_retailprice") - F.col("o.p_retailprice") <= 80) & (F.abs(F.col("p_size") - F.col("o.p_size")) <= 10)
+    return c.groupBy("p_brand").agg(F.min("o.p_partkey").alias("outer_id"), F.min_by(F.when(ok, F.col("p_partkey")), F.when(ok, F.col("k"))).alias("inner_id"))
+
+
+@query("""
+WITH l AS (SELECT p_brand, p_partkey::INT AS id, p_retailprice AS x, p_size / 50.0 AS cov FROM part UNION ALL SELECT p_brand, NULL, min(p_retailprice) - 20, NULL FROM part GROUP BY 1
+  UNION ALL SELECT p_brand, NULL, max(p_retailprice) + 20, NULL FROM part GROUP BY 1),
+n AS (SELECT *, lead(x) OVER w AS nx, lead(id) OVER w AS nid, lead(cov) OVER w AS ncov, lead(x) OVER w - x AS width FROM l WINDOW w AS (PARTITION BY p_brand ORDER BY x, id NULLS FIRST)),
+u AS (SELECT p_brand, median(width) AS usual, count(width) AS many FROM n GROUP BY 1),
+d AS (SELECT DISTINCT p_brand, CASE WHEN id IS NULL THEN nid WHEN nid IS NULL THEN id WHEN cov <= ncov THEN id ELSE nid END AS id FROM n JOIN u USING (p_brand) WHERE width IS NOT NULL AND many >= 3 AND width < usual * 0.3),
+k AS (SELECT l.* FROM l WHERE id IS NULL OR NOT EXISTS (SELECT 1 FROM d WHERE d.p_brand = l.p_brand AND d.id = l.id)),
+c AS (SELECT p_brand, x AS left_x, lead(x) OVER (PARTITION BY p_brand ORDER BY x, id NULLS FIRST) AS right_x FROM k)
+SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY left_x DESC, right_x DESC)::INT AS idx, left_x, right_x, round(right_x - left_x, 4) AS width FROM c WHERE right_x IS NOT NULL
+""")
+def narrow_repair(spark, sf):
+    """Columns between dividers, without the weaker divider beside a too narrow one."""
+    from ..operators import layout
+
+    p = t(spark, sf, "part")
+    lines = p.select("p_brand", F.col("p_partkey").cast("int").alias("cluster_id"), F.col("p_retailprice").alias("intercept"), (F.col("p_size") / 50).alias("coverage"))
+    frame = p.groupBy("p_brand").agg((F.min("p_retailprice") - 20).alias("left"), (F.max("p_retailprice") + 20).alias("right"))
+    return layout.columns(lines, frame, ["p_brand"]).withColumn("width", F.round("width", 4))
