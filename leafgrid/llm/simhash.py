@@ -270,7 +270,13 @@ SHINGLE = 5
 #: J of equally long texts is a share acos(2J / (1 + J)) / pi of the bits, 38.6 of 256 at
 #: J = 0.8, with a standard deviation of 5.7.
 SHINGLE_BITS = 46
+#: Bands of so many least shingle hashes each.  Texts of similarity J agree in a given band
+#: with probability J ** 3, so at J = 0.8 all twenty miss once in 1.7 million pairs.
+BANDS, BAND_ROWS = 20, 3
+#: Up to this size, all pairs of a band's group are compared at once.
+ALL_PAIRS = 48
 STREAMS = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) for k in range(16)], dtype=np.uint64)
+BAND_SEEDS, BAND_STREAMS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 
 
 def long_print(hashed: np.ndarray, longs: int, chunk: int = 8_192) -> np.ndarray:
@@ -287,23 +293,104 @@ def long_print(hashed: np.ndarray, longs: int, chunk: int = 8_192) -> np.ndarray
     return majority(total, len(hashed)).view("<u8")
 
 
+def shingle_bands(hashed: np.ndarray, chunk: int = 8_192) -> np.ndarray:
+    """The band keys of a text's shingles: the number of the band mixed with its minima."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for k in range(0, len(hashed), chunk):
+        h = hashed[k : k + chunk]
+        np.minimum(least, (((h ^ (h >> np.uint64(32)))[None, :] ^ BAND_SEEDS[:, None]) * BAND_STREAMS[:, None]).min(axis=1), out=least)
+    least = least.reshape(BANDS, BAND_ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for k in range(BAND_ROWS):
+        key = (key ^ least[:, k]) * STREAMS[1]
+        key ^= key >> np.uint64(31)
+    return key
+
+
 def copy_prints(docs: DataFrame) -> DataFrame:
-    """``doc_id, th`` (a hash of the text) and the longs ``f`` of its fingerprints."""
-    n = WORD_PRINTS + SHINGLE_LONGS
+    """``doc_id, th`` (a hash of the text), the longs ``f`` of its fingerprints and of the
+    number of its distinct shingles, and its ``bands``."""
+    n = WORD_PRINTS + SHINGLE_LONGS + 1
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros((batch.num_rows, n), dtype=np.uint64)
+            bands = np.zeros((batch.num_rows, BANDS), dtype=np.uint64)
             for k, t in enumerate(batch.column(2)):
                 words = CORE.findall((t.as_py() or "").lower())
                 if words:
+                    hashed = hashes(shingles(words, SHINGLE))
                     out[k, :WORD_PRINTS] = long_print(hashes(list(dict.fromkeys(words))), WORD_PRINTS)
-                    out[k, WORD_PRINTS:] = long_print(hashes(shingles(words, SHINGLE)), SHINGLE_LONGS)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, n, dtype=np.int32)), pa.array(out.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "th", "f"])
+                    out[k, WORD_PRINTS:-1] = long_print(hashed, SHINGLE_LONGS)
+                    out[k, -1] = len(np.unique(hashed))
+                    bands[k] = shingle_bands(hashed)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(out), _lists(bands)], ["doc_id", "th", "f", "bands"])
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    return narrow.mapInArrow(each, "doc_id long, th long, f array<long>")
+    return narrow.mapInArrow(each, "doc_id long, th long, f array<long>, bands array<long>")
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.reshape(-1).view(np.int64)))
+
+
+def _close_sides(side: np.ndarray) -> Callable:
+    """Tells of rows a, b whether their shingle fingerprints are those of near copies.  The
+    last column counts the shingles: a similarity of 0.8 needs a ratio of 0.8 at least."""
+    bits, count = side[:, :-1], side[:, -1]
+
+    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y = count[a], count[b]
+        alike = 5 * np.minimum(x, y) >= 4 * np.maximum(x, y)
+        return alike & (np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= SHINGLE_BITS)
+
+    return close
+
+
+def group_pairs(group: np.ndarray, close: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Close rows (a, b) that link each group (rows in a run) as all of its close pairs do."""
+    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(begin, len(group)))
+    for n in np.unique(size[(size > 1) & (size <= ALL_PAIRS)]):
+        x, y = np.tril_indices(n, -1)
+        own = begin[size == n]
+        step = max(1, PAIRS // len(x))
+        for k in range(0, len(own), step):
+            a, b = ((own[k : k + step, None] + i[None, :]).reshape(-1) for i in (x, y))
+            ok = close(a, b)
+            yield a[ok], b[ok]
+    for at, n in zip(begin[size > ALL_PAIRS], size[size > ALL_PAIRS]):
+        # each row leaves ``left`` when its linked set first reaches it
+        left = np.arange(at, at + n)
+        while len(left):
+            seed, left = left[0], left[1:]
+            todo = [seed]
+            while todo and len(left):
+                near = close(np.full(len(left), todo.pop()), left)
+                yield left[near], np.full(near.sum(), seed)
+                todo += list(left[near])
+                left = left[~near]
+
+
+def band_links(nodes: DataFrame) -> DataFrame:
+    """Edges ``a, b`` between rows of ``nodes`` (``node, f, bands``) that agree in a band and
+    are near copies.  Fingerprints go only to the bands that several rows share."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches):
+            band, node, *own = (c.to_numpy() for c in t.columns)
+            side = np.stack(own, axis=1).view(np.uint64)
+            label = linked_sets(len(node), group_pairs(band, _close_sides(side)))
+            row = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array(node[label[row]])], ["a", "b"])
+
+    each = nodes.select("node", F.explode("bands").alias("band"))
+    shared = each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("shared"))
+    shared = written(shared, "bands")
+    few = each.join(maybe_broadcast(shared), F.col("band") == F.col("shared")).select("node", "band")
+    sides = nodes.select(F.col("node").alias("of"), *[F.get("f", F.lit(WORD_PRINTS + k)).alias(f"s{k}") for k in range(SHINGLE_LONGS + 1)])
+    both = few.join(sides, F.col("node") == F.col("of")).select("band", "node", *[f"s{k}" for k in range(SHINGLE_LONGS + 1)])
+    return both.repartition("band").sortWithinPartitions("band", "node").mapInArrow(search, "a long, b long")
 
 
 def copy_links(nodes: DataFrame, blocks: int = 4) -> DataFrame:
@@ -313,17 +400,13 @@ def copy_links(nodes: DataFrame, blocks: int = 4) -> DataFrame:
         for t in whole_groups(batches):
             shard, node, fp, *own = (c.to_numpy() for c in t.columns)
             side = np.stack(own, axis=1).view(np.uint64)
-
-            def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-                return np.bitwise_count(side[a] ^ side[b]).sum(axis=1, dtype=np.int64) <= SHINGLE_BITS
-
-            row, root = star_edges(shard, fp.view(np.uint64), close)
+            row, root = star_edges(shard, fp.view(np.uint64), _close_sides(side))
             yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array(node[root])], ["a", "b"])
 
     keys = F.flatten(F.array(*[_tagged(j, blocks) for j in range(WORD_PRINTS)]))
     each = nodes.select("node", "f", F.explode(keys).alias("k"))
     columns = [F.col("k.shard").alias("shard"), F.col("node"), F.col("k.fp").alias("fp")]
-    columns += [F.get("f", F.lit(WORD_PRINTS + k)).alias(f"s{k}") for k in range(SHINGLE_LONGS)]
+    columns += [F.get("f", F.lit(WORD_PRINTS + k)).alias(f"s{k}") for k in range(SHINGLE_LONGS + 1)]
     dealt = each.select(*columns).repartition("shard").sortWithinPartitions("shard", "node")
     return dealt.mapInArrow(search, "a long, b long")
 
@@ -338,14 +421,15 @@ def without_copies(docs: DataFrame) -> DataFrame:
     with the smallest id (not null, if there is one), by text where ids tie.
 
     Texts are compared by lower-case words without punctuation.  Eight fingerprints of the
-    distinct words find the pairs (near copies differ in few of these bits, and one of the
-    eight within the radius is enough); a long fingerprint of the five-word shingles then
+    distinct words find pairs (one of the eight within the radius is enough), and twenty
+    bands of three least hashes of the five-word shingles find those that the trees cannot
+    reach, such as copies with text added or cut; a long fingerprint of the shingles then
     says whether the similarity is 0.8 or more.  Texts without words are copies of each
     other; a row repeated in full stays once; an empty table gives no rows.
     """
     printed = written(copy_prints(docs).withColumn("node", F.xxhash64("f")), "copies")
-    nodes = written(printed.groupBy("node").agg(F.first("f").alias("f"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least")), "nodes")
-    root = stars(copy_links(nodes))
+    nodes = written(printed.groupBy("node").agg(F.first("f").alias("f"), F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least")), "nodes")
+    root = stars(copy_links(nodes).unionAll(band_links(nodes)))
     rooted = nodes.join(root.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     keep = rooted.groupBy("root").agg(F.min("least").alias("kept"))
     known = written(rooted.join(keep, "root").select(F.col("node").alias("of"), "kept"), "kept")

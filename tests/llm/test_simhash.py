@@ -93,3 +93,55 @@ def test_groups_cut_between_batches():
 
 def test_empty_table(documents):
     assert simhash.groups(documents([])).collect() == []
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\W_]+", text.lower())
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+
+def jaccard(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b)
+
+
+def changed_copies(seed, n):
+    """(text, copy) with text appended, cut off or edited in a few places."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 8)))
+    for k in range(n):
+        w = [word() for _ in range(rng.randint(150, 600))]
+        kind, c = k % 3, list(w)
+        if kind == 0:
+            c += [word() for _ in range(len(w) * rng.randint(6, 16) // 100)]
+        elif kind == 1:
+            c = c[: len(w) * rng.randint(86, 94) // 100]
+        else:
+            for at in rng.sample(range(len(w)), len(w) * 15 // 1000):
+                c[at] = word()
+        yield " ".join(w), " ".join(c)
+
+
+def test_near_copies_with_added_cut_and_edited_text(documents):
+    pairs = list(changed_copies(8, 240))
+    assert all(jaccard(a, b) >= 0.8 for a, b in pairs)
+    rows = [(2 * k + j, t, "en", "a") for k, p in enumerate(pairs) for j, t in enumerate(p)]
+    # texts that share a third of their shingles are not copies
+    common = pairs[0][0]
+    rows += [(1000 + k, f"{common} {' '.join(a.split()[: 2 * len(common.split())])}", "en", "a") for k, (a, _) in enumerate(pairs) if len(a.split()) >= 1.5 * len(common.split())][:20]
+    kept = {r["doc_id"] for r in simhash.without_copies(documents(rows)).select("doc_id").collect()}
+    assert kept >= {2 * k for k in range(len(pairs))}
+    assert {r[0] for r in rows if r[0] >= 1000} <= kept
+    missed = [k for k in range(len(pairs)) if 2 * k + 1 in kept]
+    assert len(missed) <= 0.03 * len(pairs), [(k % 3, round(jaccard(*pairs[k]), 3)) for k in missed]
+
+
+@pytest.mark.parametrize("size", [3, simhash.ALL_PAIRS, 200])
+def test_groups_of_a_band_link_as_all_pairs_do(size):
+    rng = np.random.default_rng(size)
+    group = np.sort(rng.integers(0, 3, 3 * size))
+    place = rng.integers(0, 40 * size, 3 * size)
+    close = lambda a, b: abs(place[a] - place[b]) <= 30
+    label = simhash.linked_sets(len(group), simhash.group_pairs(group, close))
+    want = brute_components(range(len(group)), lambda i, j: group[i] == group[j] and close(i, j))
+    assert list(label) == [want[k] for k in range(len(group))]
