@@ -6,6 +6,12 @@ document that covers enough of an item's windows is a leak if its slots agree: e
 value in the benchmark's slots must turn into one value in the document.  Copies and
 re-parameterised questions both pass that, chance overlaps of form do not.
 
+Slots are compared where an item's windows first occur in the document.  If they
+disagree there, every alignment of item and document is judged by itself: a copy that
+stands after a passage of the same form is a leak as well.  Items whose windows are
+nearly all slots keep them all, and leak by an alignment with the very same values, or
+with all of their form and agreeing slots.
+
 The windows of documents are produced and probed in one stage when the benchmark's
 windows are few enough to broadcast (they are counted first); beyond that the same
 join is a shuffle, whose hot windows the adaptive planner splits.
@@ -13,7 +19,7 @@ join is a shuffle, whose hot windows the adaptive planner splits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, let, maybe_broadcast, table, written
@@ -98,8 +104,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
 
     Items shorter than a window match as a whole.  Null texts leak nothing; null doc
     ids are kept; a document repeated in full is reported once; items with repeated or
-    null ids count once or not at all; an item whose windows are nearly all slots has
-    none to match; empty tables give no rows; other columns are ignored.
+    null ids count once or not at all; empty tables give no rows; other columns are
+    ignored.
     """
     items = written(benchmark_items(benchmark), "items")
     lengths = sorted(r[0] for r in items.select("n").distinct().collect()) or [WINDOW]  # WINDOW at most
@@ -108,9 +114,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     for more in each[1:]:
         own = own.unionAll(more)
     fixed = F.size(F.filter(F.slice(F.col("canon"), F.col("w.p") + 1, F.col("n")), lambda x: ~is_slot(x)))
-    own = own.where(fixed >= F.ceil(F.col("n") * FIXED)).select("item_id", F.col("w.p").alias("item_pos"), F.col("w.h").alias("h"))
+    own = own.select("item_id", F.col("w.p").alias("item_pos"), F.col("w.h").alias("h"), fixed.alias("fixed"), (fixed >= F.ceil(F.col("n") * FIXED)).alias("is_fixed"))
+    own = own.withColumn("dense", ~F.max("is_fixed").over(Window.partitionBy("item_id"))).where("is_fixed or dense")
+    own = written(own.drop("is_fixed"), "places")
     bench = written(own.groupBy("item_id", "h").agg(F.min("item_pos").alias("item_pos")), "windows")
-    total = bench.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+    total = own.groupBy("item_id").agg(F.count_distinct("h").alias("item_windows"), F.first("dense").alias("dense"), (F.min("fixed") > 0).alias("has_form"))
 
     found = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(canonical_of(F.col("text")), lengths)).alias("w"))
     found = found.select("doc_id", "text_hash", F.col("w.p").alias("pos"), F.col("w.h").alias("h"))
@@ -127,6 +135,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     plain = covered.join(with_slots, F.col("item_id") == F.col("slot_item"), "left_anti")
     checked = covered.join(with_slots, F.col("item_id") == F.col("slot_item"))
     columns = ["doc_id", "text_hash", "item_id", "matched", "item_windows"]
+    figures = [*columns, "slots", "slot_conflicts"]
     result = plain.select(*columns, F.lit(0).alias("slots"), F.lit(0).alias("slot_conflicts"))
     checked = written(checked, "slots")
     if checked.isEmpty():
@@ -143,10 +152,66 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
         return F.transform(at, pair)
 
     compared = both.withColumn("values", F.array_distinct(F.flatten(F.transform("pairs", values))))
+    compared = written(_with_conflicts(compared).select(*figures, "dense", "has_form"), "first")
+    agreed = ~F.col("dense") & (F.col("slot_conflicts") <= F.floor(F.lit(conflicts) * F.col("slots")))
+    result = result.unionByName(compared.where(agreed).select(*figures))
+    doubtful = compared.where(~agreed).select("doc_id", "text_hash", "item_id", "item_windows", "dense", "has_form")
+    if doubtful.isEmpty():
+        return result
+    return result.unionByName(_aligned(docs, doubtful, items, own, lengths, coverage, conflicts).select(*figures))
+
+
+def _with_conflicts(df: DataFrame) -> DataFrame:
+    """``slots`` and ``slot_conflicts`` of the distinct pairs in ``values``."""
     slots = F.size(F.array_distinct(F.transform("values", lambda v: v["a"])))
-    compared = compared.withColumn("slots", slots).withColumn("slot_conflicts", F.size("values") - F.col("slots"))
-    agreed = compared.where(F.col("slot_conflicts") <= F.floor(F.lit(conflicts) * F.col("slots")))
-    return result.unionByName(agreed.select(*columns, "slots", "slot_conflicts"))
+    return df.withColumn("slots", slots).withColumn("slot_conflicts", F.size("values") - F.col("slots"))
+
+
+def _aligned(docs: DataFrame, doubtful: DataFrame, items: DataFrame, own: DataFrame, lengths: list[int], coverage: float, conflicts: float) -> DataFrame:
+    """The pairs of ``doubtful`` with an alignment that is a leak, and the figures of the
+    best one.  Alignments are hits of one offset between document and item, or of a range
+    of offsets as wide as the item (two rows of ranges, half a width apart), so that copies
+    with words put in or left out are whole in one.
+    """
+    texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("th"), "text").dropDuplicates(["d", "th"])
+    named = doubtful.select("doc_id", "text_hash").distinct()
+    texts = texts.join(maybe_broadcast(named, BROADCAST_ROWS // 50), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("th") == F.col("text_hash")))
+    words = texts.select("doc_id", "text_hash", tokens(F.col("text")).alias("theirs"))
+    at = F.transform(windows(canonical(F.col("theirs")), lengths), lambda w: F.struct(w["p"].alias("pos"), w["h"].alias("h"), F.slice("theirs", w["p"] + 1, WINDOW).alias("theirs")))
+    places = words.select("doc_id", "text_hash", F.inline(at))
+
+    ours = own.join(items.select("item_id", "tokens", "canon", "n"), "item_id")
+    ours = ours.select(
+        "item_id", "item_pos", "h", F.size("tokens").alias("long"),
+        F.slice("tokens", F.col("item_pos") + 1, F.col("n")).alias("ours"), F.slice("canon", F.col("item_pos") + 1, F.col("n")).alias("form"),
+    )
+    ours = ours.join(doubtful.select("item_id").distinct(), "item_id", "left_semi")
+    slot_at = F.filter(F.sequence(F.lit(0), F.size("form") - 1), lambda k: is_slot(F.get("form", k)))
+    pairs = F.transform(slot_at, lambda k: F.struct(F.get("ours", k).alias("a"), F.get("theirs", k).alias("b")))
+    offset = F.col("pos") - F.col("item_pos")
+    half = F.col("long") / 2
+    kinds = [offset, F.floor(offset / F.col("long")), F.floor((offset + half) / F.col("long"))]
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("long").alias("which")) for k, v in enumerate(kinds)])
+    hits = places.join(maybe_broadcast(ours), "h").withColumn("values", pairs)
+    hits = hits.select("doc_id", "text_hash", "item_id", "item_pos", "pos", "h", "values", F.inline(kinds))
+
+    by = ["doc_id", "text_hash", "item_id", "kind", "which"]
+    once = hits.groupBy(*by, "item_pos").agg(F.min_by(F.struct("h", "values"), "pos").alias("x"))
+    same = F.forall("x.values", lambda v: v["a"] == v["b"])
+    each = once.groupBy(*by).agg(
+        F.count_distinct("x.h").alias("matched"), F.count_distinct(F.when(same, F.col("x.h"))).alias("literal"),
+        F.array_distinct(F.flatten(F.collect_set("x.values"))).alias("values"),  # as long as an item at most
+    )
+    key = doubtful.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("th"), F.col("item_id").alias("i"), "item_windows", "dense", "has_form")
+    judged = _with_conflicts(each).join(key, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("th")) & (F.col("item_id") == F.col("i")))
+    least = F.ceil(F.lit(coverage) * F.col("item_windows"))
+    agree = F.col("slot_conflicts") <= F.floor(F.lit(conflicts) * F.col("slots"))
+    alike = F.when(F.col("dense"), F.col("has_form") & (F.col("matched") == F.col("item_windows"))).otherwise(F.col("matched") >= least)
+    judged = judged.where((agree & alike) | (F.col("literal") >= least))
+    best = F.max(F.struct("matched", (-F.col("slot_conflicts")).alias("agreed"), "slots", "item_windows")).alias("best")
+    return judged.groupBy("doc_id", "text_hash", "item_id").agg(best).select(
+        "doc_id", "text_hash", "item_id", "best.matched", "best.item_windows", "best.slots", (-F.col("best.agreed")).alias("slot_conflicts")
+    )
 
 
 def canonical_of(text: Column) -> Column:

@@ -93,3 +93,30 @@ def test_empty_tables(documents, benchmark):
     assert dc.leaks(documents([]), benchmark([(1, ITEM)])).collect() == []
     assert dc.leaks(documents([(1, ITEM, "en", "a")]), benchmark([])).collect() == []
     assert dc.decontaminated(documents([(1, ITEM, "en", "a")]), benchmark([])).count() == 1
+
+
+def test_items_of_slots_are_found(documents, benchmark):
+    item = "What is 17 + 25 * 3 - 12 + 4 * 9?"
+    units = "3 kg in 4 m and 5 cm of 6 km at 7 mph for 8 hours"
+    rows = [
+        (1, f"some words before. {item} and after", "en", "a"),
+        (2, item.replace("17", "18").replace("25", "26"), "en", "a"),
+        (3, "what is 17 or 25 and so on", "en", "a"),
+        (4, "a table of 1 2 3 4 5 6 7 8 9 10 numbers", "en", "a"),
+        (5, f"text {units} text", "en", "a"),
+        (6, "3 kg in 9 m", "en", "a"),
+        (7, "7 3 8 2 9 1 6 4 5", "en", "a"),
+    ]
+    got = dc.leaks(documents(rows), benchmark([(1, item), (2, units), (3, "7 3 8 2 9 1 6 4 5")]))
+    assert ids(got) == [(1, 1), (2, 1), (5, 2), (7, 3)]
+    assert got.where("doc_id = 1").first()["slot_conflicts"] == 0
+
+
+def test_a_copy_after_a_passage_of_its_form(documents, benchmark):
+    rng = random.Random(6)
+    item = "the old baker sells 12 loaves of bread to every guest in town and then he closes his small shop for the whole winter"
+    early = "the old baker sells 30 loaves of bread to nobody"
+    edited = item.replace("in town", "in our own lovely little town")
+    rows = [(1, f"{early} {prose(rng, 60)} {item}", "en", "a"), (2, f"{early} {prose(rng, 200)} {edited} {prose(rng, 20)}", "en", "a")]
+    rows += [(3, f"{early} {prose(rng, 60)}", "en", "a")]
+    assert ids(dc.leaks(documents(rows), benchmark([(1, item)]))) == [(1, 1), (2, 1)]
