@@ -17,7 +17,6 @@ backward messages past it, so the number of steps does not follow the longest te
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +33,11 @@ FEATURES = 1 << 15
 LEXICON = 2_000
 BLOCK = 64
 EPOCHS = 4
-CACHE = 600_000
+#: Letters of the words that a worker remembers.
+CACHE_LETTERS = 6_000_000
+#: Lengths of the n-grams, and of the affixes with their mark.
+ORDERS, PREFIXES, SUFFIXES = (1, 2, 3), (3, 4), (3, 4, 5)
+FACTOR = np.uint64(0x100000001B3)
 UNDETERMINED = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -48,16 +51,55 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def feature_rows(word: str, lexicons: list[set[str]]) -> list[int]:
-    """Hashed features of one word, over its bytes; very long words keep those of their
-    ends and a bounded number of n-grams spread over the whole word."""
-    w = f"^{word}$".encode("utf-8", "surrogatepass")
-    step = 1 + len(w) // 256
-    crc, mask = zlib.crc32, FEATURES - 1
-    out = [crc(b"w" + w) & mask, crc(b"p" + w[:4]) & mask, crc(b"s" + w[-4:]) & mask, crc(b"t" + w[-6:]) & mask]
-    out += [crc(w[k : k + 2]) & mask for k in range(0, len(w) - 1, step)]
-    out += [crc(w[k : k + 3]) & mask for k in range(0, len(w) - 2, step)]
-    return out + [crc(b"lex%d" % k) & mask for k, lex in enumerate(lexicons) if word in lex]
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Feature numbers of 64-bit codes."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(29))) >> np.uint64(17)).astype(np.int64) & (FEATURES - 1)
+
+
+def features(words_: list[str], lexicons: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of the words, each between ``^`` and ``$``: the numbers, and the
+    place of the word that each belongs to.
+
+    A word has its letter n-grams of ``ORDERS`` at every place, prefixes and suffixes, the
+    whole of it, and the lexicons that it stands in; all words are done at once, and one of
+    any length whole.
+    """
+    code = np.frombuffer("".join(f"^{w}$" for w in words_).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    size = np.fromiter((len(w) + 2 for w in words_), dtype=np.int64, count=len(words_))
+    end = np.cumsum(size)
+    begin = end - size
+    owner = np.repeat(np.arange(len(words_)), size)
+    left = end[owner] - np.arange(len(code))
+    numbers, owners = [], []
+    run = code.copy()
+    for n in range(1, max(ORDERS) + 1):
+        if n > 1:
+            run = run[:-1] * FACTOR + code[n - 1 :]
+        if n in ORDERS:
+            whole = left[: len(run)] >= n
+            numbers.append(mixed(run[whole] + np.uint64(n << 56)))
+            owners.append(owner[: len(run)][whole])
+    every = np.arange(len(words_))
+    for tag, lengths in ((1, PREFIXES), (2, SUFFIXES)):
+        for n in lengths:
+            h = np.zeros(len(words_), dtype=np.uint64)
+            for k in range(n):
+                at = begin + k if tag == 1 else end - 1 - k
+                some = size > k
+                h[some] = h[some] * FACTOR + code[at[some]]
+            numbers.append(mixed(h + np.uint64((tag * 16 + n) << 56)))
+            owners.append(every)
+    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(size.max(initial=1)) - 1, FACTOR)]), dtype=np.uint64)
+    if len(words_):
+        whole = np.add.reduceat(code * power[np.arange(len(code)) - begin[owner]], begin)
+        numbers.append(mixed(whole + np.uint64(48 << 56)))
+        owners.append(every)
+    for k, lexicon in enumerate(lexicons):
+        inside = np.array([w in lexicon for w in words_], dtype=bool)
+        numbers.append(np.full(inside.sum(), mixed(np.array([(49 << 56) + k], dtype=np.uint64))[0]))
+        owners.append(every[inside])
+    return np.concatenate(numbers), np.concatenate(owners)
 
 
 @dataclass
@@ -68,12 +110,12 @@ class Model:
     start: np.ndarray
     lexicons: list[set[str]]
 
-    def emission(self, word: str) -> np.ndarray | None:
-        """Scores of one word; None without a letter."""
-        if not any(map(str.isalpha, word)):
-            return None
-        rows = feature_rows(word, self.lexicons)
-        return self.weights[rows].sum(axis=0) / np.sqrt(len(rows))
+    def emissions(self, words_: list[str]) -> np.ndarray:
+        """Scores of words, a row for each."""
+        ids, owner = features(words_, self.lexicons)
+        n = len(words_)
+        total = np.stack([np.bincount(owner, w[ids], n) for w in np.ascontiguousarray(self.weights.T)], axis=1) if n else np.zeros((0, len(self.languages)))
+        return total / np.sqrt(np.maximum(np.bincount(owner, minlength=n), 1))[:, None]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -131,7 +173,10 @@ def train(texts: list[str | None], langs: list[str], epochs: int = EPOCHS) -> Mo
         tallies[g].update(set(w))
     every = sum(tallies, Counter())
     lexicons = [{w for w, _ in sorted(((w, c) for w, c in t.items() if c >= 2 and 2 * c > every[w]), key=lambda x: (-x[1], x[0]))[:LEXICON]} for t in tallies]
-    rows = {w: np.array(feature_rows(w, lexicons)) for w in every}
+    known = list(every)
+    ids, owner = features(known, lexicons)
+    ids = ids[np.argsort(owner, kind="stable")]
+    rows = dict(zip(known, np.split(ids, np.cumsum(np.bincount(owner, minlength=len(known)))[:-1])))
     weights, trans, start = np.zeros((FEATURES, k)), np.zeros((k, k)), np.zeros(k)
     gain = np.full(FEATURES, 1e-6)
     rng = np.random.default_rng(1)
@@ -166,32 +211,32 @@ def train(texts: list[str | None], langs: list[str], epochs: int = EPOCHS) -> Mo
 
 class Memory(dict):
     """The number of each word met, with its scores and letters in arrays; 0 stands for a
-    word without a letter.  Starts afresh when full."""
+    word without a letter.  Starts afresh when its words have ``limit`` letters."""
 
-    def __init__(self, model: Model, limit: int = CACHE):
+    def __init__(self, model: Model, limit: int = CACHE_LETTERS):
         super().__init__()
         self.model, self.limit = model, limit
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.scores = np.zeros((1024, max(1, len(self.model.languages))), dtype=np.float32)
-        self.letters = np.zeros(1024, dtype=np.int64)
-        self.used = 1
-
-    def __missing__(self, word: str) -> int:
-        score = self.model.emission(word)
-        if score is None or not len(score):
-            self[word] = 0
-            return 0
-        if self.used == len(self.letters):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        k = self.used
-        self.scores[k], self.letters[k] = score, len(word)
-        self.used += 1
-        self[word] = k
-        return k
+        self.scores = np.zeros((1, max(1, len(self.model.languages))))
+        self.letters = np.zeros(1, dtype=np.int64)
+        self.held = 0
+
+    def learn(self, found: list[str]) -> None:
+        """Remembers the words of ``found`` that are new, and where full only its words."""
+        if self.held > self.limit:
+            self.reset()
+        new = [w for w in dict.fromkeys(found) if w not in self]
+        bare = [w for w in new if not any(map(str.isalpha, w))] if self.model.languages else new
+        self.update(dict.fromkeys(bare, 0))
+        new = [w for w in new if w not in self]
+        if new:
+            self.update(zip(new, range(len(self.letters), len(self.letters) + len(new))))
+            self.scores = np.concatenate([self.scores, self.model.emissions(new)])
+            self.letters = np.concatenate([self.letters, np.fromiter(map(len, new), dtype=np.int64, count=len(new))])
+            self.held += int(self.letters[-len(new) :].sum())
 
 
 _WORDS: dict[str, Memory] = {}
@@ -200,22 +245,20 @@ _WORDS: dict[str, Memory] = {}
 def predict(texts: list[str | None], memory: Memory) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     model = memory.model
-    if len(memory) > memory.limit:
-        memory.reset()
-    met = memory.__getitem__
-    numbers, lengths = [], []
+    found, lengths = [], []
     for t in texts:
         own = words(t)
-        numbers += map(met, own)
+        found += own
         lengths.append(len(own))
-    rows = np.array(numbers, dtype=np.int64)
+    memory.learn(found)
+    rows = np.fromiter(map(memory.__getitem__, found), dtype=np.int64, count=len(found))
     owner = np.repeat(np.arange(len(texts)), lengths)[rows > 0]
     rows = rows[rows > 0]
     share = np.zeros((len(texts), max(1, len(model.languages))))
-    if len(rows) and model.languages:
+    if len(rows):
         first = np.ones(len(rows), dtype=bool)
         first[1:] = owner[1:] != owner[:-1]
-        p = posteriors(memory.scores[rows].astype(float), first, model.trans, model.start) * memory.letters[rows][:, None]
+        p = posteriors(memory.scores[rows], first, model.trans, model.start) * memory.letters[rows][:, None]
         for j in range(share.shape[1]):
             share[:, j] = np.bincount(owner, p[:, j], len(texts))
         share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
@@ -225,10 +268,13 @@ def predict(texts: list[str | None], memory: Memory) -> tuple[list[str], np.ndar
 
 
 def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` documents with a known language of the learning folds, in hash order."""
+    """``doc_id, lang, text`` of at most ``rows`` ids with a known language of the learning
+    folds, in hash order; of an id's rows the one whose text has the least hash."""
     known = docs.where("doc_id is not null and lang is not null and text is not null").where(crc32_mod(F.col("doc_id"), 3) != 1)
     ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("id"))
-    return docs.where("lang is not null").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "lang", "text")
+    own = known.join(F.broadcast(ids), F.col("doc_id") == F.col("id"))
+    one = own.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("one"))
+    return one.select("doc_id", "one.lang", "one.text")
 
 
 def identify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -239,7 +285,7 @@ def identify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
     sample = written(training_rows(docs, rows), "lang")
-    got = sorted(sample.dropDuplicates(["doc_id"]).collect())  # at most ``rows``
+    got = sorted(sample.collect())  # at most ``rows``
     model = train([r["text"] for r in got], [r["lang"] for r in got])
     name = f"{model.languages} {float(np.abs(model.weights).sum())!r}"
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size

@@ -44,6 +44,18 @@ def test_units_fold_disguises():
     assert toxicity.fold("x" * 40) and toxicity.fold("12345678") == [] and toxicity.units(None) == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["1d10t", "i1d2i3o4t", "12:30:05,idiot", "a1,b2,c3,idiot", "i_d_i_o_t", "i d i o t", "x i _ d _ i _ o _ t x", "http://a.b/c?user=idiot&n=1234", '{"k":"idiot","n":10000}', "2024-01-01T10:00:00;1D10T"],
+)
+def test_insults_inside_digits_marks_and_runs(text):
+    assert "^^idiot$" in {x for u in toxicity.units(text) for x in toxicity.fold(u)}
+
+
+def test_insults_of_many_digits():
+    assert "^^asshole$" in toxicity.fold("a55h0l3") and toxicity.fold("2024-01-01") == []
+
+
 @pytest.fixture(scope="module")
 def insulting():
     rng = random.Random(2)
@@ -117,11 +129,35 @@ def test_code_switched_words():
     texts = [prose(rng, 30, "abcdefg") for _ in range(40)] + [prose(rng, 30, "éèàmnop") for _ in range(40)]
     model = language.train(texts, ["aa"] * 40 + ["cc"] * 40)
     w = language.words(prose(rng, 10, "abcdefg") + " " + prose(rng, 10, "éèàmnop"))
-    score = np.array([model.emission(x) for x in w])
+    score = model.emissions(w)
     p = language.posteriors(score, np.arange(20) == 0, model.trans, model.start)
     assert p[:10, 0].min() > 0.5 and p[10:, 1].min() > 0.5
 
 
+@pytest.mark.parametrize("word", ["a", "né", "漢" * 300, "abcd" * 5_000])
+def test_a_word_has_all_its_letter_ngrams_and_affixes(word):
+    ids, owner = language.features(["xy", word, "z"], [{word}, set()])
+    padded = len(word) + 2
+    ngrams = sum(max(0, padded - n + 1) for n in language.ORDERS)
+    assert (owner == 1).sum() == ngrams + len(language.PREFIXES) + len(language.SUFFIXES) + 1 + 1
+    alone, _ = language.features([word], [{word}, set()])
+    assert sorted(ids[owner == 1]) == sorted(alone) and ids.min() >= 0 and ids.max() < language.FEATURES
+
+
+def test_equal_ngrams_have_equal_features():
+    ids, owner = language.features(["abc", "xabc", "abd"], [])
+    a, b, c = (set(ids[owner == k]) for k in range(3))
+    assert len(a & b) >= 7 and len(a & c) >= 6 and a != b
+
+
+def test_training_rows_do_not_depend_on_order(documents):
+    own = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 3 != 1)
+    rows = [(own, f"text number {'abcdefg'[k]}", "en", "a") for k in range(7)] + [(k, f"words {k}", "en", "a") for k in range(100, 130)]
+    one = sorted(map(tuple, language.training_rows(documents(rows)).collect()))
+    two = sorted(map(tuple, language.training_rows(documents(rows[::-1]).repartition(5)).collect()))
+    assert one == two and [r[0] for r in one].count(own) == 1
+
+
 def test_language_without_labels(documents):
     assert [r["lang_pred"] for r in language.identify(documents([(1, "abc", None, "a")])).collect()] == ["und"]
     assert language.identify(documents([])).collect() == []
