@@ -12,9 +12,11 @@ clean documents join the negatives, and disguised forms (a letter put in or doub
 the positives.  A document's score is a logistic function of its highest unit value, the
 mass of its insulting units (each counts by its value, 1 at most), and their share.
 
-Units are words in lower case without inner marks, and runs of three or more single
-letters put together (``i d i o t``).  Long words are cut into overlapping windows, all of
-which count.  The model (landmarks and weights) has a fixed size and is fitted on at most
+Units are words in lower case and runs of three or more single letters put together
+(``i d i o t``).  A word with marks or digits is compared in each of its readings: without
+its marks, by its pieces between them, with digits as the letters they stand for, and
+without digits; its value is that of the worst.  Long words are cut into overlapping
+windows, all of which count.  The model (landmarks and weights) has a fixed size and is fitted on at most
 ``TRAIN_ROWS`` labelled rows in hash order; every document is scored whole.
 """
 
@@ -49,11 +51,16 @@ POOL = 40_000
 CHANCE = 0.006
 #: A unit is a witness by itself if so many toxic documents have it, and by so much (log) more often.
 LEAST, SURE = 4, 2.5
+#: Words, the most frequent ones, among which landmarks are chosen.
+CANDIDATES = 1_500
 CACHE = 1_000_000
 
-TOKEN = re.compile(r"[^\W_]+(?:[^\w\x20\x09-\x0D]+[^\W_]+)*")
-SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[\W_]{1,3}[^\W\d_](?!\w)){2,}")
+#: Letters and digits between blanks, marks inside included.
+TOKEN = re.compile(r"[^\W_]+(?:(?:[^\w\x20\x09-\x0D]|_)+[^\W_]+)*")
+SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[\W_]{1,3}[^\W\d_](?![^\W_])){2,}")
 NOT_LETTER = re.compile(r"[\W\d_]+")
+MARKS = re.compile(r"[\W_]+")
+LETTER = re.compile(r"[^\W\d_]")
 #: Signs that stand for letters inside a word (fixed values).
 STAND_IN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 START, END = "^^", "$"
@@ -67,15 +74,28 @@ def units(text: str | None) -> list[str]:
     return found
 
 
+def readings(word: str) -> list[str]:
+    """The letter strings that a raw unit may be read as."""
+    if word.isalpha():
+        return [word]
+    pieces = MARKS.split(word)
+    out = []
+    for part in [word, *(pieces if len(pieces) > 1 else [])]:
+        if LETTER.search(part):
+            out += [NOT_LETTER.sub("", part.translate(STAND_IN)), NOT_LETTER.sub("", part)]
+    return list(dict.fromkeys(out))
+
+
 def fold(word: str) -> list[str]:
-    if not word.isalpha():
-        few = sum(map(str.isdigit, word)) <= 2 and any(map(str.isalpha, word))
-        word = NOT_LETTER.sub("", word.translate(STAND_IN)) if few else ""
-    if len(word) < ORDER:
-        return []
-    if len(word) <= LONGEST:
-        return [START + word + END]
-    return list(dict.fromkeys(START + word[k : k + LONGEST] + END for k in range(0, len(word) - LONGEST // 2, LONGEST // 2)))
+    """What the kernel compares of a raw unit: each reading, or the windows of a long one;
+    readings shorter than ``ORDER`` have no subsequence and are left out."""
+    out = []
+    for w in readings(word):
+        if ORDER <= len(w) <= LONGEST:
+            out.append(START + w + END)
+        elif len(w) > LONGEST:
+            out += [START + w[k : k + LONGEST] + END for k in range(0, len(w) - LONGEST // 2, LONGEST // 2)]
+    return list(dict.fromkeys(out))
 
 
 # --- kernel -------------------------------------------------------------------------
@@ -296,7 +316,7 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, s
 def spread(words: list[str], n: int) -> list[str]:
     """``n`` words far apart in the kernel, the first being the most frequent."""
     tally = Counter(words)
-    pool = [w for w, _ in sorted(tally.items(), key=lambda t: (-t[1], t[0]))][:1_500]
+    pool = [w for w, _ in sorted(tally.items(), key=lambda t: (-t[1], t[0]))][:CANDIDATES]
     if len(pool) <= n:
         return pool
     norm = np.sqrt(np.maximum(self_kernel(pool), 1e-12))
@@ -382,11 +402,14 @@ def crc32_mod(doc_id: Column, n: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """``text, toxic`` of at most ``rows`` labelled ids of the learning folds, in hash order."""
+    """``doc_id, text, label`` of at most ``rows`` labelled ids of the learning folds, in hash
+    order; of an id's rows the one whose text has the least hash."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(crc32_mod(F.col("doc_id"), 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     known = known.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
-    return docs.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("doc_id", "text", F.col("label").cast("int").alias("label"))
+    own = docs.join(F.broadcast(known), F.col("doc_id") == F.col("id"))
+    one = own.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", F.col("label").cast("int").alias("label"))).alias("one"))
+    return one.select("doc_id", "one.text", "one.label")
 
 
 _SCORES: dict[str, dict[str, float]] = {}
@@ -433,7 +456,7 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Data
     gives no rows; other columns are ignored.
     """
     sample = written(training_rows(docs, labels, rows), "toxic")
-    got = sorted(sample.dropDuplicates(["doc_id"]).collect())  # at most ``rows``
+    got = sorted(sample.collect(), key=lambda r: r["doc_id"])  # at most ``rows``
     model = train([r["text"] for r in got], np.array([r["label"] > 0 for r in got], dtype=bool))
     name = f"{model.landmarks} {model.bias} {model.weights}"
     return scores(docs, model, name)
