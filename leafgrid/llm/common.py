@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``.  Only a local master, whose tasks all
+    see the driver's disk, may go without: then it is a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
         named = "file://" + tempfile.mkdtemp(prefix="leafgrid-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -41,7 +44,32 @@ def written(df: DataFrame, what: str) -> DataFrame:
     files that every executor sees, so the loss of an executor costs a re-read."""
     path = new_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a frame that ``written`` returned and nothing reads any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def row_of(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as the struct ``row``, so that none can clash."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row")
+
+
+def row_columns(names: list[str]) -> list[Column]:
+    """The columns out of the struct ``row`` again."""
+    return [F.col("row").getField(c).alias(c) for c in names]
 
 
 def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -54,6 +82,28 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def running_sums(sizes: Column, chunk: int = 256) -> Column:
+    """For each element the sum of it and all before.  The fold appends to arrays of at
+    most ``chunk`` elements and to one of a chunk each, so the work is about linear."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        now = acc["at"] + x
+        return F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out"))
+
+    def whole(x: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / chunk).cast("int"))
+        parts = F.transform(starts, lambda c: F.aggregate(F.slice(x, c * chunk + 1, chunk), zero, step))
+
+        def moved(own: Column) -> Column:
+            ends = F.aggregate(F.transform(own, lambda a: a["at"]), zero, step, lambda acc: acc["out"])
+            return let(ends, lambda e: F.flatten(F.transform(own, lambda a, i: F.transform(a["out"], lambda v: v + F.coalesce(F.get(e, i - 1), F.lit(0))))))
+
+        return let(parts, moved)
+
+    return let(sizes, lambda x: F.when(F.size(x) > 0, whole(x)).otherwise(F.array().cast("array<bigint>")))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts as empty.  Builds one short string and no array."""
     marks = F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{BLANK}]*{WORD}", "x")

@@ -5,7 +5,8 @@ fixed buckets) are counted: one over trusted documents, one over all raw documen
 A document's log importance weight is the mean log ratio of the two over its n-grams,
 as if it had ``DRAWS`` of them, so that length does not decide.  Adding Gumbel noise
 and keeping the k largest sums draws k documents without replacement in proportion to
-their weights.
+their weights: clean texts, whose weights are a few tenths to a few units apart, compete by
+chance, and junk, tens of units below, hardly ever wins.
 
 The classifier is fitted on at most ``TRUSTED_ROWS`` labelled rows (a hash-ordered sample,
 its documented bound): one half makes the trusted model, the other the cut between junk and
@@ -22,16 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import table, written
+from .common import quoted, row_columns, row_of, table, written
 
 #: Buckets of each n-gram order.
 BUCKETS = 1 << 14
 TRUSTED_ROWS = 8_000
-DRAWS = 200
+DRAWS = 30
 #: Raw-model n-grams that the trusted counts are smoothed with.
 PRIOR = 2_000.0
 #: N-grams of ratio 0 that a document's mean is smoothed with.
@@ -116,21 +117,32 @@ def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
     return out
 
 
-def scored(docs: DataFrame, table_: np.ndarray) -> DataFrame:
-    """``row`` (a struct of the columns of ``docs``, ``text`` among them) and its ``ratio``."""
-    whole = docs.select(F.struct(*docs.columns).alias("row"))
+def uniform(seed: int) -> Column:
+    """In (0, 1), from the id and the text: reruns draw alike, another seed draws anew."""
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    return (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def scored(docs: DataFrame, table_: np.ndarray, seed: int, columns: list[str]) -> DataFrame:
+    """``row`` (a struct of ``columns``), ``ratio``, and ``u``, uniform."""
+    read = list(dict.fromkeys([*columns, "text"]))
+    whole = docs.select(uniform(seed).alias("u"), row_of(docs.select(*map(quoted, read))))
+    kept = [f for f in whole.schema["row"].dataType.fields if f.name in columns]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Hashes()
         for batch in batches:
+            row = batch.column(1)
             total = np.zeros(batch.num_rows)
-            for first, end, bucket, owner in pieces(batch.column(0).field("text"), seen):
+            for first, end, bucket, owner in pieces(row.field("text"), seen):
                 n = end - first
                 sums = np.bincount(owner, weights=table_[bucket], minlength=n)
                 total[first:end] = sums / (np.bincount(owner, minlength=n) + SHRINK)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total)], ["row", "ratio"])
+            if len(kept) < len(read):
+                row = pa.StructArray.from_arrays([row.field(c) for c in columns], columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0), row, pa.array(total)], ["u", "row", "ratio"])
 
-    return whole.mapInArrow(score, StructType([*whole.schema.fields, StructField("ratio", DoubleType())]))
+    return whole.mapInArrow(score, StructType([whole.schema["u"], StructField("row", StructType(kept)), StructField("ratio", DoubleType())]))
 
 
 def learned_cut(ratio: np.ndarray, good: np.ndarray) -> float:
@@ -167,29 +179,34 @@ def largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 11, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The documents drawn: ``row`` (all columns of ``docs``), ``log_weight``, ``key``.
+def resample(docs: DataFrame, labels: DataFrame, seed: int = 11, rows: int = TRUSTED_ROWS, draws: float = DRAWS, columns: list[str] | None = None) -> DataFrame:
+    """The documents drawn: ``row`` (``columns`` of ``docs``, all by default), ``log_weight``,
+    ``key``.  Only ``columns``, the ratio and the noise are written between the passes.
 
     Null and empty texts have ratio 0; labels that are null, repeated or of no
     document are harmless, and without labels of both kinds every document is drawn.
     Rows tied with the k-th key (identical rows) are all drawn.  An empty table gives
     no rows.  Extra columns are carried along.
     """
+    columns = list(columns or docs.columns)
     sample = written(labelled_sample(labels, rows), "sample")
     raw, good = counts(docs, sample)
-    weighed = written(scored(docs, log_ratios(raw, good)), "scored")
+    weighed = written(scored(docs, log_ratios(raw, good), seed, columns), "scored")
     known = weighed.select(F.col("row.doc_id").alias("doc_id"), "ratio").join(F.broadcast(sample.where("not fit")), F.col("doc_id") == F.col("id"))
-    seen = known.select("ratio", "good").limit(4 * rows).collect()
-    cut = learned_cut(np.array([r[0] for r in seen]), np.array([r[1] > 0 for r in seen])) if seen else float("-inf")
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row.doc_id", "row.text"), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    weight = F.col("ratio") * DRAWS
-    keyed = weighed.select("row", weight.alias("log_weight"), (weight - F.log(-F.log(u))).alias("key"), (F.col("ratio") >= cut).alias("above"))
+    seen = known.groupBy("id").agg(F.min("ratio"), F.first("good")).collect()  # one row per id of the sample
+    cut = learned_cut(np.array([r[1] for r in seen]), np.array([r[2] > 0 for r in seen])) if seen else float("-inf")
+    weight = F.col("ratio") * F.lit(float(draws))
+    keyed = weighed.select("row", weight.alias("log_weight"), (weight - F.log(-F.log("u"))).alias("key"), (F.col("ratio") >= cut).alias("above"))
     k = keyed.where("above").count()
     return keyed.where(F.col("key") >= largest(keyed.select("key"), k)).select("row", "log_weight", "key")
 
 
+def resampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows drawn, with the columns of ``docs``."""
+    return resample(docs, labels, **options).select(*row_columns(docs.columns))
+
+
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, log_weight, gumbel_key`` of the documents that the classifier keeps."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    got = resample(docs, table(spark, sf_dir, "labels"))
+    got = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
     return got.select(F.col("row.doc_id").alias("doc_id"), "log_weight", F.col("key").alias("gumbel_key"))

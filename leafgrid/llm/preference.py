@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import let, running_sums, table, written
 
 TRAINED = "assistant"
 
@@ -33,14 +33,17 @@ def placed(turns: DataFrame) -> DataFrame:
 
 def _spans(turns: Column) -> Column:
     """Spans of the trained parts in the concatenation of ``array<struct<place, role, out, n>>``."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
-    def step(acc: Column, t: Column) -> Column:
-        head = F.length(F.concat(F.lit("<|"), t["role"], F.lit("|>\n")))
-        span = F.struct((acc["at"] + head).alias("start"), (acc["at"] + t["n"]).alias("end"))
-        return F.struct((acc["at"] + t["n"]).alias("at"), F.when(t["role"] == TRAINED, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def all_spans(ends: Column) -> Column:
+        def one(t: Column, k: Column) -> Column:
+            head = F.length(F.concat(F.lit("<|"), t["role"], F.lit("|>\n")))
+            end = F.get(ends, k).cast("int")
+            return F.struct((end - t["n"] + head).alias("start"), end.alias("end"), t["role"].alias("role"))
 
-    return F.aggregate(turns, zero, step, lambda acc: acc["spans"])
+        own = F.filter(F.transform(turns, one), lambda s: s["role"] == TRAINED)
+        return F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+
+    return let(running_sums(F.transform(turns, lambda t: t["n"].cast("long"))), all_spans)
 
 
 def preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:

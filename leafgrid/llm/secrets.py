@@ -2,9 +2,9 @@
 
 Three patterns give the base spans of a text.  Live-looking values (the assigned value,
 or a long run of letters and digits) are hashed, and for each hash the corpus is asked
-how many distinct owners and repositories hold it.  A value of one owner is that
-owner's credential and adds a span of kind ``live``; a value that several owners hold is
-a copied example and adds none.
+how many distinct owners and repositories hold it.  A value of one owner and few
+repositories is that owner's credential and adds a span of kind ``live``; a value that
+several owners hold, or one owner in many repositories, is a copied example and adds none.
 
 Only rows with values take part in the count.  It combines per task first, on (hash,
 owner, repository), then (hash, owner), then hash, so a value in a third of all rows is a
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import let, running_sums, table, written
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""
 ACCESS = r"(AKIA[A-Z0-9]+)"
@@ -27,7 +27,8 @@ KINDS = ("assign", "access", "hex", "live")
 MIN_ASSIGNED, MIN_ACCESS = 8, 16
 #: A live-looking value has a digit, a letter and so many different characters.
 MIN_DISTINCT = 8
-MAX_OWNERS = 1
+#: Beyond so many owners, or repositories (each counted under its owner), a value is a copy.
+MAX_OWNERS, MAX_REPOSITORIES = 1, 5
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -39,23 +40,24 @@ def spans(text: Column, pattern: str, value_group: int = 1) -> Column:
     The matches and the pieces between them alternate, so the places are running sums
     of their lengths."""
 
-    def fold(pieces: Column, whole: Column, value: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    def placed(s: Column) -> Column:
+        ends = running_sums(F.transform(s["w"], lambda x, k: (F.length(F.get(s["p"], k)) + F.length(x)).cast("long")))
 
-        def step(acc: Column, k: Column) -> Column:
-            start = acc["at"] + F.length(F.get(pieces, k))
-            end = start + F.length(F.get(whole, k))
-            span = F.struct(start.alias("start"), end.alias("end"), F.get(value, k).alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        def span(e: Column) -> Column:
+            of = lambda x, k: F.struct((F.get(e, k) - F.length(x)).cast("int").alias("start"), F.get(e, k).cast("int").alias("end"), F.get(s["v"], k).alias("value"))
+            return F.transform(s["w"], of)
 
-        count = F.size(whole)
-        return F.aggregate(F.sequence(F.lit(0), count - 1), zero, step, lambda acc: acc["out"])
+        return let(ends, span)
 
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    lists = F.array(F.struct(F.split(text, pattern, -1).alias("p"), whole.alias("w"), value.alias("v")))
-    found = F.get(F.transform(lists, lambda s: fold(s["p"], s["w"], s["v"])), F.lit(0))
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+    lists = F.struct(F.split(text, pattern, -1).alias("p"), whole.alias("w"), value.alias("v"))
+    return F.when(text.rlike(pattern), let(lists, placed)).otherwise(F.array().cast(SPAN))
+
+
+def united(a: Column, b: Column) -> Column:
+    """The distinct spans of both, in order; linear but for the sort."""
+    return let(F.sort_array(F.concat(a, b)), lambda x: F.filter(x, lambda v, i: (i == 0) | (F.get(x, i - 1) != v)))
 
 
 def of_kind(spans_: Column, kind: int) -> Column:
@@ -77,7 +79,7 @@ def live_looking(spans_: Column) -> Column:
     return F.filter(spans_, ok)
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied`` for every
     row of ``docs``; ``owner`` and ``repository`` name its columns for the count.
 
@@ -96,7 +98,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
         spans(F.col("t"), RUN).alias("run"),
     )
     assigned = F.transform("assign", lambda s: F.struct((s["end"] - F.length(s["value"])).alias("start"), s["end"].alias("end"), s["value"].alias("value")))
-    values = live_looking(F.array_union(assigned, F.col("run")))
+    values = live_looking(united(assigned, F.col("run")))
     hashed = F.transform(values, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash")))
     base = F.concat(*[of_kind(F.col(c), k) for k, c in enumerate(KINDS[:3])])
     rows = written(
@@ -109,7 +111,8 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
     each = rows.where(F.size("values") > 0).select("uid", "o", "r", F.explode("values").alias("v")).select("uid", "o", "r", "v.start", "v.end", F.col("v.hash").alias("hash"))
     held = each.groupBy("hash", "o", "r").agg(F.lit(1).alias("one")).groupBy("hash", "o").agg(F.count(F.lit(1)).alias("repositories"))
     verdict = held.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
-    live = verdict.where(F.col("owners") <= max_owners).select(F.col("hash").alias("live"))
+    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    live = verdict.where(few).select(F.col("hash").alias("live"))
     told = each.join(live, F.col("hash") == F.col("live"), "left").select("uid", "start", "end", F.col("live").isNotNull().alias("is_live"))
     span = F.struct("start", F.lit(3).alias("kind"), "end")
     added = told.groupBy("uid").agg(
@@ -150,8 +153,8 @@ base AS (SELECT uid, kind, k, s, s + n AS e FROM placed WHERE k < 3),
 vals AS (
   SELECT DISTINCT uid, o, r, s + n - length(value) AS s, s + n AS e, value FROM placed
   WHERE k IN (0, 9) AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 8),
-owners AS (SELECT value, count(DISTINCT o) AS owners FROM vals GROUP BY value),
-told AS (SELECT v.uid, v.s, v.e, owners <= 1 AS live FROM vals v JOIN owners USING (value)),
+owners AS (SELECT value, count(DISTINCT o) AS owners, count(DISTINCT {'o': o, 'r': r}) AS repositories FROM vals GROUP BY value),
+told AS (SELECT v.uid, v.s, v.e, owners <= 1 AND repositories <= 5 AS live FROM vals v JOIN owners USING (value)),
 every AS (SELECT uid, kind, k, s, e FROM base UNION ALL SELECT uid, 'live', 3, s, e FROM told WHERE live),
 b AS (SELECT uid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS joined, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h FROM base GROUP BY uid),
 x AS (SELECT uid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS joined FROM every GROUP BY uid),

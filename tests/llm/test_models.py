@@ -40,7 +40,7 @@ def test_collapsed_weights_equal_landmarks():
 
 def test_units_fold_disguises():
     folded = {x for u in toxicity.units("i-d.i*o+t 1d1ot I D I O T ok") for x in toxicity.fold(u)}
-    assert folded == {"^^idiot$"}
+    assert folded == {"^^idiot$", "^^dot$"}
     assert toxicity.fold("x" * 40) and toxicity.fold("12345678") == [] and toxicity.units(None) == []
 
 
