@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 ROUNDS = 60
 
@@ -34,11 +34,13 @@ def stars(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     for _ in range(rounds):
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select("lo", "hi"))
         # written, so that the join deals both sides anew and a hub's edges can be split
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m")), "least")
-        large = both.join(least, both.u == least["at"]).where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        step = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("u", "m").alias("m")), "least")
+        large = both.join(step, both.u == step["at"]).where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("at"), "m")
         small = large.join(least, F.col("hi") == F.col("at")).where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        now = written(small.unionAll(least.select("at", "m")).distinct(), "edges")
+        old, now = (now, step), written(small.unionAll(least.select("at", "m")).distinct(), "edges")
+        for stale in old:
+            discard(stale)
         before, state = state, _state(now)
         if state == before:
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, let, maybe_broadcast, table, written
+from .common import BROADCAST_ROWS, let, maybe_broadcast, row_columns, row_of, table, written
 
 WINDOW = 8
 #: Of a benchmark window's tokens, the least share of fixed words.
@@ -219,11 +219,14 @@ def canonical_of(text: Column) -> Column:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that leak no item."""
+    """The rows of ``docs``, all columns, that leak no item.
+
+    Null and empty texts leak nothing and stay; repeated rows stay or go together; without
+    items every row stays; an empty table gives no rows.
+    """
     bad = written(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "leaks")
-    row = docs.select(F.struct(*docs.columns).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("row.text") == F.col("bad_hash"))
-    return row.join(maybe_broadcast(bad), same, "left_anti").select(*[F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return docs.select(row_of(docs)).join(maybe_broadcast(bad), same, "left_anti").select(*row_columns(docs.columns))
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ source's own size repeats whole epochs first.
 
 The order inside a source is a range sort without a sort of the source: keys are
 uniform, so equal key ranges ("buckets") hold about ``BUCKET_ROWS`` rows each.
-Buckets are summed with map-side combining, their prefix sums need one row per
-bucket, and only the rows of one bucket ever meet in a window.  A source with a
+Buckets are summed with map-side combining; their prefix sums are taken inside blocks of
+``BLOCK_BUCKETS`` and then over blocks, and only the rows of one bucket, the buckets of one
+block, or a source's blocks ever meet in a window.  A source with a
 third of all rows is thus many buckets over many tasks.
 """
 
@@ -19,12 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK, BLANK_CHARS, table, word_count, written
+from .common import BLANK, BLANK_CHARS, quoted, row_of, table, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
-BUCKET_ROWS = 512
+BUCKET_ROWS, BLOCK_BUCKETS = 512, 1024
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -78,7 +79,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     key = hash_key(seed)
     columns = [F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("key")]
     if keep:
-        columns.append(F.struct(*keep).alias("row"))
+        columns.append(row_of(docs.select(*map(quoted, keep))))
     sized = docs.select(*columns)
     if not keep:
         sized = written(sized, "sizes")
@@ -95,13 +96,16 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     held = sized.withColumnRenamed("source", "of").join(per, F.col("of").eqNullSafe(F.col("source"))).drop("of")
     held = held.withColumn("bucket", F.least(bucket, F.col("buckets") - 1))
     narrow = held if not keep else held.drop("row")
-    sums = narrow.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(
-        F.col("source").alias("base_source"),
-        F.col("bucket").alias("base_bucket"),
-        F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("base"),
-    )
+    block = F.floor(F.col("bucket") / BLOCK_BUCKETS)
+    sums = written(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")).withColumn("block", block), "buckets")
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.groupBy("source", "block").agg(F.sum("bucket_size").alias("block_size")).select(
+        F.col("source").alias("block_source"), F.col("block").alias("block_at"),
+        F.coalesce(F.sum("block_size").over(before("source").orderBy("block")), F.lit(0)).alias("block_base"),
+    )
+    inside_block = F.coalesce(F.sum("bucket_size").over(before("source", "block").orderBy("bucket")), F.lit(0))
+    bases = sums.withColumn("inside", inside_block).join(blocks, F.col("source").eqNullSafe(F.col("block_source")) & (F.col("block") == F.col("block_at")))
+    bases = bases.select(F.col("source").alias("base_source"), F.col("bucket").alias("base_bucket"), (F.col("inside") + F.col("block_base")).alias("base"))
     placed = held.join(bases, F.col("source").eqNullSafe(F.col("base_source")) & (F.col("bucket") == F.col("base_bucket")))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     begins = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
@@ -114,7 +118,12 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 7) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole repeat of a
     document, and the one document per source at which the budget ends cut to its
-    taken words (joined by blanks; ``n_chars``, if there, is counted again)."""
+    taken words (joined by blanks; ``n_chars``, if there, is counted again).
+
+    Texts without a word, null ones among them, have nothing to take and no row; a null
+    source is one of its own; repeated rows are documents each; an empty table gives no
+    rows; other columns, whatever their names, are carried along.
+    """
     names = docs.columns
     taken = mix(docs, weights, share, cap, seed, keep=names).where(F.col("taken") > 0)
     left = F.col("taken") % F.col("size")
@@ -126,7 +135,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     trimmed = F.ltrim(F.col("row.text"), F.lit(BLANK_CHARS))
     first = F.array_join(F.slice(F.split(trimmed, f"[{BLANK}]+"), 1, F.greatest(F.col("only"), F.lit(1))), " ")
     text = F.when(F.col("only") > 0, first).otherwise(F.col("row.text"))
-    done = rows.select(*[text.alias(c) if c == "text" else F.col(f"row.{c}").alias(c) for c in names])
+    done = rows.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in names])
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -8,6 +8,10 @@ named by the choice and the value of its blocks; each shard is a BK-tree whose
 children are keyed by their integer distance to the parent, and a search follows
 only edges within the radius of the query's own distance.  That finds every link.
 
+In a large shard a row leaves the tree as soon as it is linked: a set of linked rows is
+followed from its first row outwards, so a group of copies costs about a look a row and
+not one a pair.
+
 A shard's tree meets its queries in one task.  The trees are dealt by a shuffle, not
 broadcast to all tasks: together they grow with the corpus, so a broadcast would have
 no size bound.  A task turns the links of a shard into a star around the smallest
@@ -29,15 +33,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, table, written
+from .common import discard, maybe_broadcast, row_columns, row_of, table, written
 from .components import stars
 
 RADIUS = 3
 BLOCKS = 5
 #: Rows of whole shards that a task searches at once.
 BATCH_ROWS = 100_000
-#: Pairs of a query and a tree node that are compared at once.
+#: Longs of a query and a tree node that are compared at once.
 PAIRS = 2_000_000
+#: In a shard of more rows, a row leaves the tree when its linked set first reaches it.
+SMALL_SHARD = 48
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CORE = re.compile(r"[^\W_]+")
@@ -89,7 +95,9 @@ def _first_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).astype(np.int64)
+    """Differing bits; a row may have one long or several."""
+    bits = np.bitwise_count(a ^ b)
+    return bits.astype(np.int64) if bits.ndim == 1 else bits.sum(axis=1, dtype=np.int64)
 
 
 class Forest:
@@ -118,37 +126,38 @@ class Forest:
         self.begin = np.searchsorted(self.parent[order], np.arange(n))
         self.end = np.searchsorted(self.parent[order], np.arange(n), side="right")
 
+    def near(self, query: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows (a, b) with a of ``query`` and b any node of its shard within the radius, in
+        pieces; only edges within the radius of a's distance to the parent are followed."""
+        wide = 1 if self.prints.ndim == 1 else self.prints.shape[1]
+        work = [(query, self.root_of[query])]
+        while work:
+            query, node = work.pop()
+            if len(query) * wide > PAIRS and len(query) > 1:
+                half = len(query) // 2
+                work += [(query[:half], node[:half]), (query[half:], node[half:])]
+                continue
+            d = distance(self.prints[query], self.prints[node])
+            hit = d <= radius
+            if hit.any():
+                yield query[hit], node[hit]
+            count = self.end[node] - self.begin[node]
+            some = count > 0
+            query, node, d, count = query[some], node[some], d[some], count[some]
+            if not len(query):
+                continue
+            owner = np.repeat(np.arange(len(query)), count)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            child = self.children[self.begin[node][owner] + within]
+            follow = np.abs(self.edge[child] - d[owner]) <= radius
+            if follow.any():
+                work.append((query[owner[follow]], child[follow]))
+
     def links(self, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows (a, b), a > b, of one shard within the radius, in pieces."""
-        n = len(self.prints)
-        k = 0
-        step = n
-        while k < n:
-            query = np.arange(k, min(n, k + step))
-            node = self.root_of[query]
-            work = [(query, node)]
-            k += len(query)
-            while work:
-                query, node = work.pop()
-                if len(query) > PAIRS:
-                    half = len(query) // 2
-                    work += [(query[:half], node[:half]), (query[half:], node[half:])]
-                    continue
-                d = distance(self.prints[query], self.prints[node])
-                hit = (d <= radius) & (node < query)
-                if hit.any():
-                    yield query[hit], node[hit]
-                count = self.end[node] - self.begin[node]
-                some = count > 0
-                query, node, d, count = query[some], node[some], d[some], count[some]
-                if not len(query):
-                    continue
-                owner = np.repeat(np.arange(len(query)), count)
-                within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-                child = self.children[self.begin[node][owner] + within]
-                follow = np.abs(self.edge[child] - d[owner]) <= radius
-                if follow.any():
-                    work.append((query[owner[follow]], child[follow]))
+        for a, b in self.near(np.arange(len(self.prints)), radius):
+            later = b < a
+            yield a[later], b[later]
 
 
 def linked_sets(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -170,14 +179,65 @@ def linked_sets(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.nd
     return label
 
 
-def star_edges(shard: np.ndarray, prints: np.ndarray, close: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (row, smallest row of its linked set) of the rows that have a smaller one.
-    ``close(a, b)`` can refuse links."""
-    forest = Forest(shard, prints)
-    pairs = forest.links()
-    if close is not None:
-        pairs = ((a[ok], b[ok]) for a, b in pairs for ok in (close(a, b),))
-    label = linked_sets(len(prints), pairs)
+def _refused(pairs: Iterator[tuple[np.ndarray, np.ndarray]], close: Callable | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for a, b in pairs:
+        ok = slice(None) if close is None else close(a, b)
+        yield a[ok], b[ok]
+
+
+def follow_sets(shard: np.ndarray, prints: np.ndarray, radius: int, close: Callable | None = None, patience: int = 16) -> np.ndarray:
+    """The smallest row of each row's linked set, for large shards of rows in order.
+
+    In each round the first row left of each shard, and the rows it reaches in turn, leave
+    the tree, which is built again when half of it has left.  After ``patience`` rounds that
+    reached few rows, the rest is searched with all its rows at once.
+    """
+    label, left, idle = np.arange(len(shard)), np.arange(len(shard)), 0
+    while len(left) and idle < patience:
+        forest = Forest(shard[left], prints[left])
+        alive = np.ones(len(left), dtype=bool)
+        while 2 * alive.sum() >= len(left) and alive.any() and idle < patience:
+            rows = np.flatnonzero(alive)
+            before = len(rows)
+            front = rows[np.unique(shard[left[rows]], return_index=True)[1]]
+            alive[front] = False
+            while len(front) and alive.any():
+                reached = []
+                for a, b in forest.near(front, radius):
+                    ok = alive[b]
+                    a, b = a[ok], b[ok]
+                    if len(b) and close is not None:
+                        ok = close(left[a], left[b])
+                        a, b = a[ok], b[ok]
+                    b, first = np.unique(b, return_index=True)
+                    label[left[b]] = label[left[a[first]]]
+                    alive[b] = False
+                    reached.append(b)
+                front = np.concatenate(reached) if reached else front[:0]
+            idle = idle + 1 if before - alive.sum() < before / 64 else 0
+        left = left[alive]
+    if len(left):
+        near = lambda x: (left[x[0]], left[x[1]])
+        rest = linked_sets(len(shard), _refused(map(near, Forest(shard[left], prints[left]).links(radius)), close))
+        label[left] = rest[left]
+    return label
+
+
+def star_edges(shard: np.ndarray, prints: np.ndarray, radius: int = RADIUS, close: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (row, smallest row of its linked set) of the rows that have a smaller one; the
+    rows of a shard stand together.  ``close(a, b)`` can refuse links."""
+    _, which, size = np.unique(shard, return_inverse=True, return_counts=True)
+    large = size[which] > SMALL_SHARD
+    label = np.arange(len(shard))
+    for part, find in ((np.flatnonzero(~large), None), (np.flatnonzero(large), follow_sets)):
+        own = (lambda part: None if close is None else lambda a, b: close(part[a], part[b]))(part)
+        if not len(part):
+            continue
+        if find is None:
+            got = linked_sets(len(part), _refused(Forest(shard[part], prints[part]).links(radius), own))
+        else:
+            got = find(shard[part], prints[part], radius, own)
+        label[part] = part[got]
     row = np.flatnonzero(label != np.arange(len(label)))
     return row, label[row]
 
@@ -261,39 +321,37 @@ def groups(docs: DataFrame, size: int = 3, blocks: int = BLOCKS) -> DataFrame:
 
 # --- one document of each group -----------------------------------------------------
 
-#: Independent 64-bit fingerprints of a text's distinct words, the search side.
-WORD_PRINTS = 8
-#: Longs of the fingerprint of its five-word shingles, the similarity side.
-SHINGLE_LONGS = 4
-SHINGLE = 5
-#: Differing bits of the latter at which two texts are near copies: a Jaccard similarity
-#: J of equally long texts is a share acos(2J / (1 + J)) / pi of the bits, 38.6 of 256 at
-#: J = 0.8, with a standard deviation of 5.7.
-SHINGLE_BITS = 46
-#: Bands of so many least shingle hashes each.  Texts of similarity J agree in a given band
-#: with probability J ** 3, so at J = 0.8 all twenty miss once in 1.7 million pairs.
-BANDS, BAND_ROWS = 20, 3
-#: Up to this size, all pairs of a band's group are compared at once.
-ALL_PAIRS = 48
-STREAMS = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) for k in range(16)], dtype=np.uint64)
+#: Words of a shingle, and the similarity of near copies.
+SHINGLE, SIMILARITY = 5, 0.8
+#: Longs of a text's fingerprint.
+LONGS = 32
+#: Differing bits of two of these 2048 at which texts are near copies.  Of two texts of like
+#: length and similarity J a share acos(2J / (1 + J)) / pi differs, 310 bits at J = 0.8, with
+#: a standard deviation of 16; at 0.75 it is 353, at 0.7 393.  One and a half deviations are
+#: added, so 14 in 15 pairs at 0.8, 1 in 8 at 0.75 and hardly any at 0.7 are linked.
+COPY_BITS = 334
+#: Shards of the trees: bands of so many least shingle hashes each.  Texts of similarity J
+#: share a given band with probability J ** 5; at 0.8 they miss all once in 2,700 pairs.
+BANDS, BAND_ROWS = 20, 5
+STREAMS = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64) for k in range(LONGS)], dtype=np.uint64)
 BAND_SEEDS, BAND_STREAMS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 
 
-def long_print(hashed: np.ndarray, longs: int, chunk: int = 8_192) -> np.ndarray:
+def long_print(hashed: np.ndarray, longs: int = LONGS, chunk: int = 255) -> np.ndarray:
     """``longs`` 64-bit fingerprints from streams mixed out of the same hashes."""
     total = np.zeros(64 * longs, dtype=np.int64)
-    for k in range(0, len(hashed), chunk):
+    for k in range(0, len(hashed), chunk):  # a chunk's sums fit a byte
         h = hashed[k : k + chunk, None] + STREAMS[None, :longs]
         h ^= h >> np.uint64(30)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(27)
         h *= np.uint64(0x94D049BB133111EB)
         h ^= h >> np.uint64(31)
-        total += np.unpackbits(h.view("u1").reshape(len(h), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        total += np.add.reduce(np.unpackbits(h.view("u1").reshape(len(h), -1), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
     return majority(total, len(hashed)).view("<u8")
 
 
-def shingle_bands(hashed: np.ndarray, chunk: int = 8_192) -> np.ndarray:
+def shingle_bands(hashed: np.ndarray, chunk: int = 4_096) -> np.ndarray:
     """The band keys of a text's shingles: the number of the band mixed with its minima."""
     least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for k in range(0, len(hashed), chunk):
@@ -308,21 +366,19 @@ def shingle_bands(hashed: np.ndarray, chunk: int = 8_192) -> np.ndarray:
 
 
 def copy_prints(docs: DataFrame) -> DataFrame:
-    """``doc_id, th`` (a hash of the text), the longs ``f`` of its fingerprints and of the
+    """``doc_id, th`` (a hash of the text), the longs ``f`` of its fingerprint and of the
     number of its distinct shingles, and its ``bands``."""
-    n = WORD_PRINTS + SHINGLE_LONGS + 1
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros((batch.num_rows, n), dtype=np.uint64)
+            out = np.zeros((batch.num_rows, LONGS + 1), dtype=np.uint64)
             bands = np.zeros((batch.num_rows, BANDS), dtype=np.uint64)
             for k, t in enumerate(batch.column(2)):
                 words = CORE.findall((t.as_py() or "").lower())
                 if words:
-                    hashed = hashes(shingles(words, SHINGLE))
-                    out[k, :WORD_PRINTS] = long_print(hashes(list(dict.fromkeys(words))), WORD_PRINTS)
-                    out[k, WORD_PRINTS:-1] = long_print(hashed, SHINGLE_LONGS)
-                    out[k, -1] = len(np.unique(hashed))
+                    hashed = np.unique(hashes(shingles(words, SHINGLE)))
+                    out[k, :-1] = long_print(hashed)
+                    out[k, -1] = len(hashed)
                     bands[k] = shingle_bands(hashed)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(out), _lists(bands)], ["doc_id", "th", "f", "bands"])
 
@@ -334,108 +390,59 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.reshape(-1).view(np.int64)))
 
 
-def _close_sides(side: np.ndarray) -> Callable:
-    """Tells of rows a, b whether their shingle fingerprints are those of near copies.  The
-    last column counts the shingles: a similarity of 0.8 needs a ratio of 0.8 at least."""
-    bits, count = side[:, :-1], side[:, -1]
+def _like_sizes(count: np.ndarray) -> Callable:
+    """Refuses rows a, b whose numbers of shingles rule out the similarity of near copies."""
 
     def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x, y = count[a], count[b]
-        alike = 5 * np.minimum(x, y) >= 4 * np.maximum(x, y)
-        return alike & (np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= SHINGLE_BITS)
+        return np.minimum(x, y) >= SIMILARITY * np.maximum(x, y)
 
     return close
 
 
-def group_pairs(group: np.ndarray, close: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Close rows (a, b) that link each group (rows in a run) as all of its close pairs do."""
-    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
-    size = np.diff(np.append(begin, len(group)))
-    for n in np.unique(size[(size > 1) & (size <= ALL_PAIRS)]):
-        x, y = np.tril_indices(n, -1)
-        own = begin[size == n]
-        step = max(1, PAIRS // len(x))
-        for k in range(0, len(own), step):
-            a, b = ((own[k : k + step, None] + i[None, :]).reshape(-1) for i in (x, y))
-            ok = close(a, b)
-            yield a[ok], b[ok]
-    for at, n in zip(begin[size > ALL_PAIRS], size[size > ALL_PAIRS]):
-        # each row leaves ``left`` when its linked set first reaches it
-        left = np.arange(at, at + n)
-        while len(left):
-            seed, left = left[0], left[1:]
-            todo = [seed]
-            while todo and len(left):
-                near = close(np.full(len(left), todo.pop()), left)
-                yield left[near], np.full(near.sum(), seed)
-                todo += list(left[near])
-                left = left[~near]
-
-
-def band_links(nodes: DataFrame) -> DataFrame:
-    """Edges ``a, b`` between rows of ``nodes`` (``node, f, bands``) that agree in a band and
-    are near copies.  Fingerprints go only to the bands that several rows share."""
+def copy_links(nodes: DataFrame) -> DataFrame:
+    """Edges ``a, b`` between rows of ``nodes`` (``node, f, bands``) that are near copies.  A
+    shard is what shares a band; fingerprints go only to the bands that several rows share."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches):
-            band, node, *own = (c.to_numpy() for c in t.columns)
-            side = np.stack(own, axis=1).view(np.uint64)
-            label = linked_sets(len(node), group_pairs(band, _close_sides(side)))
-            row = np.flatnonzero(label != np.arange(len(label)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array(node[label[row]])], ["a", "b"])
+        for t in whole_groups(batches, BATCH_ROWS // 4):
+            band, node = (t.column(c).to_numpy() for c in (0, 1))
+            f = t.column(2).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+            row, root = star_edges(band, f[:, :-1], COPY_BITS, _like_sizes(f[:, -1].astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array(node[root])], ["a", "b"])
 
     each = nodes.select("node", F.explode("bands").alias("band"))
     shared = each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("shared"))
     shared = written(shared, "bands")
     few = each.join(maybe_broadcast(shared), F.col("band") == F.col("shared")).select("node", "band")
-    sides = nodes.select(F.col("node").alias("of"), *[F.get("f", F.lit(WORD_PRINTS + k)).alias(f"s{k}") for k in range(SHINGLE_LONGS + 1)])
-    both = few.join(sides, F.col("node") == F.col("of")).select("band", "node", *[f"s{k}" for k in range(SHINGLE_LONGS + 1)])
+    sides = nodes.select(F.col("node").alias("of"), "f")
+    both = few.join(sides, F.col("node") == F.col("of")).select("band", "node", "f")
     return both.repartition("band").sortWithinPartitions("band", "node").mapInArrow(search, "a long, b long")
 
 
-def copy_links(nodes: DataFrame, blocks: int = 4) -> DataFrame:
-    """Edges ``a, b`` between rows of ``nodes`` (``node, f``) that are near copies."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches):
-            shard, node, fp, *own = (c.to_numpy() for c in t.columns)
-            side = np.stack(own, axis=1).view(np.uint64)
-            row, root = star_edges(shard, fp.view(np.uint64), _close_sides(side))
-            yield pa.RecordBatch.from_arrays([pa.array(node[row]), pa.array(node[root])], ["a", "b"])
-
-    keys = F.flatten(F.array(*[_tagged(j, blocks) for j in range(WORD_PRINTS)]))
-    each = nodes.select("node", "f", F.explode(keys).alias("k"))
-    columns = [F.col("k.shard").alias("shard"), F.col("node"), F.col("k.fp").alias("fp")]
-    columns += [F.get("f", F.lit(WORD_PRINTS + k)).alias(f"s{k}") for k in range(SHINGLE_LONGS + 1)]
-    dealt = each.select(*columns).repartition("shard").sortWithinPartitions("shard", "node")
-    return dealt.mapInArrow(search, "a long, b long")
-
-
-def _tagged(j: int, blocks: int) -> Column:
-    fp = F.get("f", F.lit(j))
-    return F.transform(block_keys(fp, blocks), lambda x: F.struct(F.xxhash64(F.lit(j), x).alias("shard"), fp.alias("fp")))
-
-
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with one of each group of near copies: the one
     with the smallest id (not null, if there is one), by text where ids tie.
 
-    Texts are compared by lower-case words without punctuation.  Eight fingerprints of the
-    distinct words find pairs (one of the eight within the radius is enough), and twenty
-    bands of three least hashes of the five-word shingles find those that the trees cannot
-    reach, such as copies with text added or cut; a long fingerprint of the shingles then
-    says whether the similarity is 0.8 or more.  Texts without words are copies of each
-    other; a row repeated in full stays once; an empty table gives no rows.
+    Texts are compared by lower-case words without punctuation.  Bands of least hashes of
+    the five-word shingles deal the texts to shards, a BK-tree over long fingerprints of the
+    shingles finds the pairs of a shard within the radius, and the numbers of shingles must
+    allow a similarity of 0.8.  Texts without words are copies of each other; a row repeated
+    in full stays once; null texts count as empty; an empty table gives no rows.
     """
     printed = written(copy_prints(docs).withColumn("node", F.xxhash64("f")), "copies")
-    nodes = written(printed.groupBy("node").agg(F.first("f").alias("f"), F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least")), "nodes")
-    root = stars(copy_links(nodes).unionAll(band_links(nodes)))
-    rooted = nodes.join(root.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    keep = rooted.groupBy("root").agg(F.min("least").alias("kept"))
-    known = written(rooted.join(keep, "root").select(F.col("node").alias("of"), "kept"), "kept")
-    gone = printed.join(known, F.col("node") == F.col("of")).where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("th") == F.col("kept.th"))))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least")
+    nodes = written(printed.groupBy("node").agg(F.first("f").alias("f"), F.first("bands").alias("bands"), least), "nodes")
+    root = stars(copy_links(nodes))
+    linked = root.unionAll(root.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "at")
+    rooted = nodes.join(linked, F.col("node") == F.col("at")).select("node", "least", "root")
+    keep = written(rooted.groupBy(F.col("root").alias("group")).agg(F.min("least").alias("kept")), "keep")
+    of_group = rooted.join(maybe_broadcast(keep), F.col("root") == F.col("group")).select(F.col("node").alias("at"), "kept")
+    known = nodes.join(of_group, F.col("node") == F.col("at"), "left").select(F.col("node").alias("of"), F.coalesce("kept", "least").alias("kept"))
+    known = written(known, "kept")
+    gone = printed.join(known, F.col("node") == F.col("of")).where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & F.col("th").eqNullSafe(F.col("kept.th"))))
     gone = written(gone.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "gone")
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("row_th"))
+    row = docs.select(row_of(docs), F.xxhash64("text").alias("row_th"))
     same = lambda d, t: F.col("row.doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col("row_th") == F.col(t))
     left = row.join(maybe_broadcast(gone), same("gone_id", "gone_th"), "left_anti")
     again = printed.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id"), F.col("th").alias("again_th"))
@@ -443,7 +450,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
     if not again.isEmpty():
         once = left.join(again, same("again_id", "again_th"), "left_semi").withColumn("row_id", F.col("row.doc_id")).dropDuplicates(["row_id", "row_th"]).drop("row_id")
         left = left.join(again, same("again_id", "again_th"), "left_anti").unionByName(once)
-    return left.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns])
+    for stale in (printed, nodes, keep, known):
+        discard(stale)
+    return left.select(*row_columns(docs.columns))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

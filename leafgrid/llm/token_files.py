@@ -193,7 +193,7 @@ def read_shards(spark: SparkSession, folder: str, manifest: list[dict]) -> DataF
         for batch in batches:
             for s in batch.to_pylist():
                 at = f"{root}/{s['name']}"
-                off = np.fromfile(f"{at}.off", dtype="<i8")
+                off = np.memmap(f"{at}.off", dtype="<i8", mode="r")
                 n = len(off) - 1
                 if n == 0:
                     continue
@@ -222,7 +222,12 @@ def default_tokenizer() -> str:
 
 
 def token_files(docs: DataFrame, tokenizer_path: str | None = None, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Writes ``docs`` as token files and returns what the files hold, per document."""
+    """Writes ``docs`` as token files and returns what the files hold, per document:
+    ``doc_id, start, n_tokens, ids_crc32``.
+
+    Null and empty texts give the end id alone; null ids come first; repeated rows are
+    written each; an empty table gives no rows; other columns are ignored.
+    """
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
     return read_shards(spark, folder, write_shards(docs, tokenizer_path or default_tokenizer(), folder, end_id))

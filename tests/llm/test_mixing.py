@@ -54,6 +54,7 @@ def test_reruns_agree_and_partitions_do_not_matter(documents, hard_rows):
 
 def test_many_buckets_in_a_hot_source(documents, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(mixing, "BLOCK_BUCKETS", 4)
     rows = [(k, " ".join(["w"] * (k % 9)), "en", "hot" if k % 3 else f"s{k % 4}") for k in range(900)]
     got = mixing.mix(documents(rows), keep=["source"]).collect()
     _, per, target = expect(rows)

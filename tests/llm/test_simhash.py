@@ -136,12 +136,71 @@ def test_near_copies_with_added_cut_and_edited_text(documents):
     assert len(missed) <= 0.03 * len(pairs), [(k % 3, round(jaccard(*pairs[k]), 3)) for k in missed]
 
 
-@pytest.mark.parametrize("size", [3, simhash.ALL_PAIRS, 200])
-def test_groups_of_a_band_link_as_all_pairs_do(size):
-    rng = np.random.default_rng(size)
-    group = np.sort(rng.integers(0, 3, 3 * size))
-    place = rng.integers(0, 40 * size, 3 * size)
-    close = lambda a, b: abs(place[a] - place[b]) <= 30
-    label = simhash.linked_sets(len(group), simhash.group_pairs(group, close))
-    want = brute_components(range(len(group)), lambda i, j: group[i] == group[j] and close(i, j))
-    assert list(label) == [want[k] for k in range(len(group))]
+@pytest.mark.parametrize("patience", [0, 3, 1000])
+@pytest.mark.parametrize("width", [1, 3])
+def test_large_shards_link_as_all_pairs_do(width, patience):
+    rng = np.random.default_rng(width)
+    n, radius = 400, 4 * width
+    prints = rng.integers(0, 1 << 63, (8, width), dtype=np.uint64)[rng.integers(0, 8, n)]
+    for k in range(n):  # chains away from eight centres
+        for _ in range(int(rng.integers(0, 12))):
+            prints[k, rng.integers(width)] ^= np.uint64(1 << int(rng.integers(0, 24)))
+    shard = np.sort(rng.integers(0, 3, n))
+    refused = rng.integers(0, 50, n)
+    close = lambda a, b: abs(refused[a] - refused[b]) <= 30
+    flat = prints[:, 0] if width == 1 else prints
+    far = np.bitwise_count(prints[:, None] ^ prints[None]).sum(axis=2)
+    want = brute_components(range(n), lambda i, j: shard[i] == shard[j] and far[i, j] <= radius and bool(close(i, j)))
+    assert 3 < len(set(want.values())) < n
+    got = simhash.follow_sets(shard, flat, radius, close, patience)
+    assert list(got) == [want[k] for k in range(n)]
+    row, root = simhash.star_edges(shard, flat, radius, close)
+    assert dict(zip(row.tolist(), root.tolist())) == {k: v for k, v in want.items() if k != v}
+
+
+def family(rng, n):
+    """Copies of a text with a few words changed, at several distances."""
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 8)))
+    w = [word() for _ in range(rng.randint(120, 300))]
+    for _ in range(n):
+        c = list(w)
+        for at in rng.sample(range(len(c)), int(len(c) * rng.choice([0, 0.004, 0.01, 0.03, 0.05]))):
+            c[at] = word()
+        yield " ".join(c)
+
+
+def test_one_of_each_group_of_near_copies_stays(documents):
+    rng = random.Random(21)
+    texts = [t for _ in range(12) for t in family(rng, rng.choice([1, 2, 5, 12]))] + [t for t in family(rng, 90)]
+    rng.shuffle(texts)
+    rows = [(1000 - k, t, "en", "a") for k, t in enumerate(texts)]
+    kept = {r["doc_id"] for r in simhash.without_copies(documents(rows)).select("doc_id").collect()}
+    text = {d: t for d, t, *_ in rows}
+    sure = brute_components(sorted(text), lambda a, b: jaccard(text[a], text[b]) >= 0.84)
+    loose = brute_components(sorted(text), lambda a, b: jaccard(text[a], text[b]) >= 0.72)
+    assert all(len(kept & {d for d in text if sure[d] == g}) <= 1 for g in set(sure.values()))
+    assert {min(d for d in text if loose[d] == g) for g in set(loose.values())} <= kept
+    assert len(set(loose.values())) <= len(kept) <= len(set(sure.values()))
+
+
+def test_a_large_group_of_near_copies_leaves_its_smallest_id(documents):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 8)))
+    base = [word() for _ in range(200)]
+    rows = []
+    for k in range(1500):
+        c = list(base)
+        c[rng.randrange(200)] = word()
+        rows.append((5 + k, " ".join(c), "en", "hot"))
+    got = simhash.without_copies(documents(rows)).collect()
+    assert [r["doc_id"] for r in got] == [5]
+
+
+def test_rows_that_stay_are_whole_with_nulls_ties_and_repeats(spark):
+    rows = [(1, "same words in both of these texts", "x"), (1, "same words in both of these texts", "x"), (2, "Same words, in both of these texts!", "y"), (None, "same words in both of these texts", "z"),
+            (3, None, "x"), (4, "", "x"), (None, None, "x"), (5, "...", None), (None, "alone with no id", "a"), (6, "another text", "b"), (6, "two texts with one id", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `odd.name` string")
+    got = simhash.without_copies(df)
+    assert got.columns == df.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[0], rows[4], rows[8], rows[9], rows[10]]))
+    assert simhash.without_copies(df.limit(0)).collect() == []
