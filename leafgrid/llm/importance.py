@@ -45,7 +45,7 @@ class Hashes(dict):
     """64-bit hashes of tokens, remembered up to a bound."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         self[token] = h = xxhash.xxh64_intdigest(token)
         return h

@@ -41,7 +41,7 @@ BLOCKS = 5
 #: Rows of whole shards that a task searches at once.
 BATCH_ROWS = 100_000
 #: Longs of a query and a tree node that are compared at once.
-PAIRS = 2_000_000
+PAIRS = 1_000_000
 #: In a shard of more rows, a row leaves the tree when its linked set first reaches it.
 SMALL_SHARD = 48
 

@@ -33,7 +33,7 @@ from .common import new_path, table
 
 END_ID = 2
 #: Words of a generation of a worker's memory.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 
 WRITTEN = "shard int, docs long, ids long, name string"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
