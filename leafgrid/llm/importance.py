@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import quoted, row_columns, row_of, table, written
+from .common import lean, quoted, row_columns, row_of, table, written
 
 #: Buckets of each n-gram order.
 BUCKETS = 1 << 14
@@ -99,7 +99,7 @@ def counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], ["b", "raw", "good"])
 
     flagged = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select("text", F.when(F.col("fit"), F.col("good")).alias("good"))
-    rows = flagged.mapInArrow(count, "b long, raw long, good long").groupBy("b").agg(F.sum("raw"), F.sum("good")).collect()
+    rows = flagged.mapInArrow(lean(count), "b long, raw long, good long").groupBy("b").agg(F.sum("raw"), F.sum("good")).collect()
     raw, good = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
     for b, r, g in rows:  # at most two rows per bucket order, whatever the corpus
         raw[b], good[b] = r, g
@@ -142,7 +142,7 @@ def scored(docs: DataFrame, table_: np.ndarray, seed: int, columns: list[str]) -
                 row = pa.StructArray.from_arrays([row.field(c) for c in columns], columns)
             yield pa.RecordBatch.from_arrays([batch.column(0), row, pa.array(total)], ["u", "row", "ratio"])
 
-    return whole.mapInArrow(score, StructType([whole.schema["u"], StructField("row", StructType(kept)), StructField("ratio", DoubleType())]))
+    return whole.mapInArrow(lean(score), StructType([whole.schema["u"], StructField("row", StructType(kept)), StructField("ratio", DoubleType())]))
 
 
 def learned_cut(ratio: np.ndarray, good: np.ndarray) -> float:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import lean, table, written
 
 TRAIN_ROWS = 1_500
 FEATURES = 1 << 15
@@ -305,7 +305,7 @@ def identify(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
 
     held = F.coalesce(crc32_mod(F.col("doc_id"), 3) == 1, F.lit(False))
     narrow = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
-    return narrow.mapInArrow(each, "doc_id long, held_out boolean, lang_pred string, score double")
+    return narrow.mapInArrow(lean(each), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

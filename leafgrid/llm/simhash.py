@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, maybe_broadcast, row_columns, row_of, table, written
+from .common import discard, lean, maybe_broadcast, row_columns, row_of, table, written
 from .components import stars
 
 RADIUS = 3
@@ -287,7 +287,7 @@ def shard_links(prints: DataFrame, blocks: int = BLOCKS) -> DataFrame:
 
     dealt = prints.select(F.explode(block_keys(F.col("fp"), blocks)).alias("shard"), "fp")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "fp")
-    return dealt.mapInArrow(search, "a long, b long")
+    return dealt.mapInArrow(lean(search), "a long, b long")
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -298,7 +298,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             fps = np.fromiter((text_fingerprint(t.as_py(), size) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(each), "doc_id long, fp long")
 
 
 def groups(docs: DataFrame, size: int = 3, blocks: int = BLOCKS) -> DataFrame:
@@ -383,7 +383,7 @@ def copy_prints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(out), _lists(bands)], ["doc_id", "th", "f", "bands"])
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    return narrow.mapInArrow(each, "doc_id long, th long, f array<long>, bands array<long>")
+    return narrow.mapInArrow(lean(each), "doc_id long, th long, f array<long>, bands array<long>")
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
@@ -417,7 +417,7 @@ def copy_links(nodes: DataFrame) -> DataFrame:
     few = each.join(maybe_broadcast(shared), F.col("band") == F.col("shared")).select("node", "band")
     sides = nodes.select(F.col("node").alias("of"), "f")
     both = few.join(sides, F.col("node") == F.col("of")).select("band", "node", "f")
-    return both.repartition("band").sortWithinPartitions("band", "node").mapInArrow(search, "a long, b long")
+    return both.repartition("band").sortWithinPartitions("band", "node").mapInArrow(lean(search), "a long, b long")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, table
+from .common import lean, new_path, table
 
 END_ID = 2
 #: Words of a generation of a worker's memory.
@@ -173,7 +173,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     order = [F.col("doc_id"), F.col("tie")]
     narrow = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     dealt = narrow.repartitionByRange(partitions, *order) if partitions else narrow.repartitionByRange(*order)
-    rows = dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(shard, WRITTEN).collect()
+    rows = dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(lean(shard), WRITTEN).collect()
     base, manifest = 0, []
     for r in sorted(rows, key=lambda r: r["shard"]):
         manifest.append({"name": r["name"], "docs": r["docs"], "ids": r["ids"], "base": base, "dtype": kind})
@@ -212,7 +212,7 @@ def read_shards(spark: SparkSession, folder: str, manifest: list[dict]) -> DataF
     if not manifest:
         return spark.createDataFrame([], READ)
     rows = spark.createDataFrame([(m["name"], m["base"], m["dtype"]) for m in manifest], "name string, base long, dtype string")
-    return rows.repartition(len(manifest)).mapInArrow(read, READ)
+    return rows.repartition(len(manifest)).mapInArrow(lean(read), READ)
 
 
 def default_tokenizer() -> str:

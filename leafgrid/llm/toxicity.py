@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import lean, table, written
 
 TRAIN_ROWS = 3_000
 ORDER = 3
@@ -444,7 +444,7 @@ def scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
 
     held = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     narrow = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
-    return narrow.mapInArrow(each, "doc_id long, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(lean(each), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def classify(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
