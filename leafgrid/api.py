@@ -41,8 +41,7 @@ class Engine:
         return pf.plan_steps(profiles)
 
     def cut(self, path: str, pages: str | None = None) -> DataFrame:
-        found, keys = self.pages(path, pages), ["book", "path"]
-        return pg.halves(found, pg.fold_center(pg.ink_profiles(found, keys), keys), keys)
+        return pg.halves(self.pages(path, pages), ["book", "path"])
 
     def tables(self, path: str, pages: str | None = None) -> DataFrame:
         keys = ["book", "path"]

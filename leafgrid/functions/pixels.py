@@ -178,3 +178,43 @@ def skew(image: np.ndarray, limit: float = 3.0, fine: float = 0.2, longest: int
 
     coarse = best(np.arange(-limit, limit + 0.05, 0.1))
     return best(np.arange(coarse - fine, coarse + fine + 0.01, 0.02))
+
+
+def line_segments(mask: np.ndarray, least: int = 30) -> list[dict]:
+    """Straight ruled stretches of ``least`` cells or more: ``x1, y1, x2, y2, width``.
+
+    What an opening by a line leaves falls into parts; each part of an upright or level
+    opening is one segment along its middle, with the slope of its cells, as wide as its area
+    over its length.  Parts wider than long are no lines.
+    """
+    out = []
+    for axis in (1, 0):
+        opened = open_lines(mask, least, axis)
+        opened = opened if axis == 1 else np.ascontiguousarray(opened.T)
+        n, label = components(opened)
+        across, along = np.nonzero(label)
+        k = label[across, along]
+        count = np.bincount(k, minlength=n + 1).astype(float)
+        total = lambda v: np.bincount(k, v, minlength=n + 1)  # noqa: B023, E731
+        low, high = np.full(n + 1, 1 << 30), np.full(n + 1, -1)
+        np.minimum.at(low, k, along)
+        np.maximum.at(high, k, along)
+        for j in range(1, n + 1):
+            length = high[j] - low[j] + 1
+            if length < least or count[j] / length > length / 2:
+                continue
+            out.append((axis, j, low[j], high[j], count[j], length))
+        if n:
+            u, v = along.astype(float), across.astype(float)
+            s1, s2, t0, t1 = total(u), total(u * u), total(v), total(u * v)
+            with np.errstate(all="ignore"):
+                slope = np.nan_to_num((count * t1 - s1 * t0) / (count * s2 - s1 * s1))
+            at = np.divide(t0 - slope * s1, count, out=np.zeros_like(t0), where=count > 0)
+            out = [x if not (isinstance(x, tuple) and x[0] == axis) else _segment(*x, slope, at) for x in out]
+    return out
+
+
+def _segment(axis: int, j: int, low: int, high: int, count: float, length: int, slope: np.ndarray, at: np.ndarray) -> dict:
+    a, b = (float(at[j] + slope[j] * c) for c in (low, high))
+    ends = (float(low), a, float(high), b) if axis == 1 else (a, float(low), b, float(high))
+    return dict(zip(("x1", "y1", "x2", "y2"), ends)) | {"width": float(count / length)}

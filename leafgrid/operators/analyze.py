@@ -1,7 +1,9 @@
-"""Book-level decisions from page-level features.
+"""Book-level decisions from page-level measures.
 
-An analyzer is a name, a page feature (a DataFrame of ``book, ...``) and the aggregate that
-decides; :data:`ANALYZERS` can be added to.  Results are joined on the book.
+One Arrow-batched pass decodes each sampled page once and measures it
+(:mod:`leafgrid.functions.measures`); an analyzer is a name and the aggregate over a book's
+measures that decides, with how sure it is.  :data:`ANALYZERS` can be added to.  Results are
+joined on the book, and their confidences become one map.
 """
 
 from __future__ import annotations
@@ -9,16 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import pixels as px
+from ..functions import measures as ms
 from . import aggregates as ag
 from . import pages as pg
-from . import sequence as sq
 
 SAMPLE = 10
+#: Aspects below which a page is half a leaf, and above which it is a whole one or a spread.
+NARROW, WIDE = 0.9, 1.1
+#: Prefix of the columns that say how sure a decision is.
+SURE = "sure_"
 
 
 def sample(pages: DataFrame, book: str = "book", path: str = "path", n: int = SAMPLE) -> DataFrame:
@@ -27,99 +31,155 @@ def sample(pages: DataFrame, book: str = "book", path: str = "path", n: int = SA
     return pages.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def mode_or(counts: DataFrame, book: str, value: str, order: str, fallback: int) -> DataFrame:
+def measured(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and the measures of every page."""
+    return pg.per_image(pages, keys, ms.SCHEMA, lambda image: [ms.page(image)])
+
+
+def _share(flag: Column) -> Column:
+    return F.avg(flag.cast("double"))
+
+
+def mode_or(counts: DataFrame, book: str, value: str, order: str, fallback: Column | int) -> DataFrame:
     """The count most pages agree on (first seen on ties), and the share that does, up by 0.2
-    within 4 to 15."""
+    within 4 to 15; the fallback without any."""
     m = ag.mode_first(counts.where(F.col(value).isNotNull()), [book], value, order)
     share = F.when(F.col("mode").between(4, 15), F.least(F.lit(1.0), F.col("share") + 0.2)).otherwise(F.col("share"))
-    every = counts.select(book).distinct().join(m, book, "left")
-    return every.select(book, F.coalesce("mode", F.lit(fallback)).alias(value), F.coalesce(F.round(share, 2), F.lit(0.3)).alias("confidence"))
-
-
-def peak_counts(profiles: DataFrame, keys: Sequence[str], axis: str, height: float, per: int, low: int, high: int) -> DataFrame:
-    """``count``: peaks of each page's profile along ``axis`` at least ``height`` of its
-    maximum and ``size / per`` apart, where within [low, high].  Places apart are counted per
-    size, so pages of one size share a plan."""
-    p = pg.points(profiles.where(F.col("axis") == axis), keys)
-    w = Window.partitionBy(*keys)
-    p = p.withColumn("top", F.max("v").over(w)).withColumn("d", F.greatest(F.floor(F.count(F.lit(1)).over(w) / per), F.lit(2)).cast("int"))
-    around = F.max("v").over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(-2, 2))
-    peaks = p.where(F.col("v") > 0).withColumn("m", around).where((F.col("v") >= height * F.col("top")) & (F.col("v") == F.col("m")))
-    zero = F.array().cast("array<int>")
-    kept = peaks.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "d"))).alias("a"))
-    step = lambda acc, x: F.when((F.size(acc) == 0) | (x["pos"] - F.element_at(acc, -1) >= x["d"]), F.concat(acc, F.array(x["pos"]))).otherwise(acc)
-    n = F.size(F.aggregate("a", zero, step))
-    return kept.select(*keys, F.when(n.between(low, high), n).alias("count"))
-
-
-def fixed_count(counts: DataFrame, book: str = "book", order: str = "path") -> DataFrame:
-    """Characters per line: fixed when half of the pages or more agree and the variance is 4
-    or less."""
-    known = counts.where("count is not null")
-    spread = known.groupBy(book).agg(F.var_pop("count").alias("var"))
-    m = ag.mode_first(known, [book], "count", order).join(spread, book)
-    every = counts.select(book).distinct().join(m, book, "left")
-    fixed = (F.col("share") >= 0.5) & (F.col("var") <= 4)
-    return every.select(
-        book, F.coalesce(fixed, F.lit(True)).alias("fixed_chars_per_line"), F.when(fixed, F.col("mode")).alias("chars_per_line"),
-        F.when(fixed, F.round("share", 2)).when(F.col("share").isNull(), 0.2).otherwise(0.3).alias("chars_confidence"),
-    )
+    back = (F.lit(fallback) if isinstance(fallback, int) else fallback).alias("_back")
+    every = counts.groupBy(book).agg(F.first(back).alias("_back")).join(m, book, "left")
+    return every.select(book, F.coalesce("mode", "_back").cast("int").alias(value), F.coalesce(F.round(share, 2), F.lit(0.3)).alias(f"{SURE}{value}"))
 
 
-def page_shape(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``aspect, gap, rule``: width over height, the least ink of the middle tenth of the
-    columns, and the share of its rows that a long upright rule covers."""
+def color(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Colour mode by the mean saturated share; background by the fullest hue of the coloured
+    pages, first on ties; red text and red borders by their shares."""
+    mean = m.groupBy(book).agg(
+        F.avg("saturated").alias("mean"), F.avg("text_red").alias("text"), F.try_divide(F.sum("red_strips"), F.sum("strips")).alias("border"),
+        F.bool_or(F.col("saturated") > 0.08).alias("some"),
+    )
+    bins = m.where(F.col("saturated") > 0.08).select(book, F.posexplode("hue_bins").alias("bin", "n")).groupBy(book, "bin").agg(F.sum("n").alias("n"))
+    top = bins.groupBy(book).agg(F.max_by("bin", F.struct("n", -F.col("bin"))).alias("bin"))
+    colored = F.col("mean") > 0.08
+    hued = colored & F.col("some")
+    back = F.when(~hued, "white").when((F.col("bin") * 5).between(5, 40), "xuan").otherwise("other")
+    red = lambda on: F.when(F.coalesce(on, F.lit(False)), "red").otherwise("black")
+    return mean.join(top, book, "left").select(
+        book, F.when(colored, "colored").otherwise("bw").alias("color_mode"), back.alias("background_color"), red(F.col("text") > 0.3).alias("text_color"),
+        red(hued & (F.col("border") > 0.3)).alias("border_color"), F.least(F.lit(1.0), F.abs(F.col("mean") - 0.08) * 10 + 0.5).alias(f"{SURE}color_mode"),
+    )
 
-    def kernel(image: np.ndarray) -> list[dict]:
-        mask = px.ink(image)
-        h, w = mask.shape
-        a, b = int(w * 0.45), max(int(w * 0.55), int(w * 0.45) + 1)
-        rule = px.open_lines(mask[:, a:b], max(h // 8, 10), 0).any(axis=1).mean()
-        return [{"aspect": w / h, "gap": float(mask.mean(axis=0)[a:b].min()), "rule": float(rule)}]
 
-    return pg.per_image(pages, keys, "aspect double, gap double, rule double", kernel)
+def layout(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Half leaf, whole leaf or spread, by mean aspect, folds, middle rules and symmetry; then
+    what the page holds, how many lines, and on which side of a half leaf the fold is."""
+    s = m.groupBy(book).agg(
+        F.avg("aspect").alias("a"), F.avg("symmetry").alias("sym"), _share(F.col("gap") < 0.01).alias("g"), F.avg("rule").alias("r"), _share(F.col("is_table")).alias("tables"),
+        _share(F.col("is_mixed")).alias("mixed"), _share(F.col("pictured")).alias("pic"), _share(F.col("pictured_right")).alias("pic_right"),
+        F.bool_or(F.col("ruled") | F.col("colored_rules")).alias("rules"), F.bool_or(F.col("lines").isNotNull()).alias("some_lines"),
+        F.sum("fold_left").alias("left"), F.sum("fold_right").alias("right"),
+    )
+    spread, wide, narrow = (F.col("a") > NARROW) & (F.col("g") > 0.5), F.col("a") > WIDE, F.col("a") < NARROW
+    kind = (
+        F.when(spread, "spread").when(wide, F.when(F.col("r") >= 0.03, "spread").otherwise("uncut_full"))
+        .when(narrow, "cut_half").otherwise(F.when(F.col("sym") > 0.7, "uncut_full").otherwise("cut_half"))
+    )
+    by_wide = F.least(F.lit(1.0), F.least(F.lit(1.0), (F.col("a") - WIDE) * 5 + 0.6) + F.abs(F.col("r") - 0.03) * 10)
+    sure = (
+        F.when(spread, F.least(F.lit(1.0), 0.7 + (F.col("a") - 1) * 2)).when(wide, by_wide)
+        .when(narrow, F.least(F.lit(1.0), (NARROW - F.col("a")) * 5 + 0.6)).otherwise(0.5 + F.col("sym") * 0.3)
+    )
+    s = s.withColumn("layout", kind).withColumn("full", F.col("layout").isin("uncut_full", "spread"))
+    table = ~spread & narrow & (F.col("tables") >= 0.3)
+    pictured = F.when(F.col("full"), F.col("pic_right")).otherwise(F.col("pic")) > 0.5
+    bare = (F.col("layout") == "cut_half") & ~F.col("rules") & F.col("some_lines")
+    content = F.when(table, F.when(F.col("mixed") > 0.3, "mixed").otherwise("table")).when(pictured, "illustration").when(bare, "no_line").otherwise("regular")
+    side = F.when(F.col("layout") == "cut_half", F.when(F.col("left") > F.col("right"), "left").otherwise("right"))
+    head = s.select(book, "layout", "full", content.alias("content_format"), side.alias("banxin_position"), sure.alias(f"{SURE}layout"))
+    counted = m.join(head.select(book, "full"), book).withColumn("lines_per_page", F.when(F.col("full"), F.col("lines_right")).otherwise(F.col("lines")))
+    lines = mode_or(counted, book, "lines_per_page", order, F.when(F.col("full"), 9).otherwise(8))
+    return head.drop("full").join(lines, book)
+
+
+def interference(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Spine shadows and photographed margins that most of a page's mean confidence shows, and
+    the margin's usual colour (first seen on ties)."""
+    s = m.groupBy(book).agg(F.avg("spine").alias("spine"), F.avg("margin").alias("margin"))
+    shade = ag.mode_first(m.where(F.col("margin") > 0.5), [book], "margin_color", order).select(book, "mode")
+    found = F.array_compact(F.array(F.when(F.col("margin") > 0.5, "margin"), F.when(F.col("spine") > 0.5, "spine_shadow")))
+    sure = lambda c: F.when(F.col(c) > 0.5, F.col(c))
+    return s.join(shade, book, "left").select(
+        book, found.alias("interferences"), F.when(F.col("margin") > 0.5, F.col("mode")).alias("margin_color"), sure("spine").alias(f"{SURE}spine_shadow"), sure("margin").alias(f"{SURE}margin")
+    )
+
+
+def border(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Double upright and level borders by their shares of the edges that could be read, and
+    how much of the borders is there."""
+    side = m.select(book, F.posexplode("sides").alias("k", "double"))
+    upright = F.col("k") < 2
+    share = lambda on: F.coalesce(F.avg(F.when(on, F.col("double").cast("double"))), F.lit(0.0))
+    votes = side.groupBy(book).agg(share(upright).alias("v"), share(~upright).alias("h"), F.count("double").alias("n"), F.count_if(F.col("double")).alias("d"))
+    worn = m.groupBy(book).agg(F.avg("coverage").alias("c"))
+    style = F.when((F.col("v") >= 0.4) & (F.col("h") < 0.3), "hsingle_vdouble").when((F.col("v") >= 0.3) | (F.col("h") >= 0.3), "double").otherwise("single")
+    sure = F.coalesce(F.round(F.try_divide(F.greatest(F.col("d"), F.col("n") - F.col("d")), F.col("n")), 2), F.lit(0.3))
+    return worn.join(votes, book, "left").select(
+        book, style.alias("border_style"), pg.line_wear(F.col("c")).alias("border_wear"), sure.alias(f"{SURE}border_style"),
+        F.round(F.least(F.lit(1.0), 0.5 + 2 * F.abs(F.col("c") - 0.55)), 2).alias(f"{SURE}border_wear"),
+    )
 
 
-def cut_type(shapes: DataFrame, book: str = "book") -> DataFrame:
-    """Whether wide pages show an empty fold in most cases (to be cut in two), and how sure."""
-    page = F.when((F.col("aspect") >= 0.95) & (F.col("gap") < 0.01), F.least(F.lit(1.0), (0.01 - F.col("gap")) * 50 + 0.7)).otherwise(0.0)
-    mean = shapes.groupBy(book).agg(F.avg(page).alias("m"))
-    return mean.select(book, F.when(F.col("m") > 0.5, "vertical").otherwise("none").alias("cut_type"), F.round(F.when(F.col("m") > 0.5, F.col("m")).otherwise(1 - F.col("m")), 2).alias("cut_confidence"))
+def text(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Characters per line, fixed when half of the pages or more agree and the variance is 4
+    or less; whether small notes stand between the lines."""
+    known = m.where("characters is not null")
+    spread = known.groupBy(book).agg(F.var_pop("characters").alias("var"))
+    usual = ag.mode_first(known, [book], "characters", order).join(spread, book)
+    notes = m.groupBy(book).agg(_share(F.col("notes")).alias("noted"))
+    fixed = (F.col("share") >= 0.5) & (F.col("var") <= 4)
+    many = F.col("noted") > 0.3
+    return notes.join(usual, book, "left").select(
+        book, F.coalesce(fixed, F.lit(True)).alias("fixed_chars_per_line"), F.when(fixed, F.col("mode")).alias("chars_per_line"), many.alias("has_marginal_notes"),
+        F.when(fixed, F.round("share", 2)).when(F.col("share").isNull(), 0.2).otherwise(0.3).alias(f"{SURE}chars_per_line"),
+        F.round(F.when(many, F.col("noted")).otherwise(1 - F.col("noted")), 2).alias(f"{SURE}has_marginal_notes"),
+    )
 
 
-def layout(shapes: DataFrame, book: str = "book") -> DataFrame:
-    """``spread``, ``uncut_full`` or ``cut_half`` by mean aspect, fold votes and middle rule."""
-    s = shapes.groupBy(book).agg(F.avg("aspect").alias("a"), F.avg((F.col("gap") < 0.01).cast("double")).alias("g"), F.avg("rule").alias("r"))
-    kind = F.when((F.col("a") > 0.9) & (F.col("g") > 0.5), "spread").when(F.col("a") > 1.1, F.when(F.col("r") >= 0.03, "spread").otherwise("uncut_full")).otherwise("cut_half")
-    return s.select(book, kind.alias("layout"))
+def font(m: DataFrame, book: str, order: str) -> DataFrame:
+    """Printed when most of the tests that could be made (even areas, even strokes) hold."""
+    s = m.groupBy(book).agg(F.avg("area_cv").alias("a"), F.avg("stroke_cv").alias("s"))
+    tests = F.col("a").isNotNull().cast("int") + F.col("s").isNotNull().cast("int")
+    passed = F.coalesce((F.col("a") < 0.65).cast("int"), F.lit(0)) + F.coalesce((F.col("s") < 0.70).cast("int"), F.lit(0))
+    printed = (tests == 0) | (passed > tests / 2)
+    share = F.when(tests == 0, 0.3).when(printed, passed / tests).otherwise((tests - passed) / tests)
+    return s.select(book, F.when(printed, "printed").otherwise("handwritten").alias("font_type"), F.round(F.least(F.lit(1.0), share + 0.3), 2).alias(f"{SURE}font_type"))
 
 
-def border_wear(pages: DataFrame, keys: Sequence[str], book: str = "book") -> DataFrame:
-    """How much of the borders is there: long rules in the outer 15 % of each side."""
+def cut(m: DataFrame, book: str, order: str = "path") -> DataFrame:
+    """Whether pages show an empty fold, upright or level, to be cut at, and how sure."""
+    s = m.groupBy(book).agg(F.avg("v_cut").alias("v"), F.avg("h_cut").alias("h"))
+    kind = F.when(F.col("v") > 0.5, "vertical_cut").when(F.col("h") > 0.5, "horizontal_cut").otherwise("none")
+    sure = F.when(F.col("v") > 0.5, F.col("v")).when(F.col("h") > 0.5, F.col("h")).otherwise(1 - F.greatest("v", "h"))
+    return s.select(book, kind.alias("cut_type"), F.round(F.least(F.lit(1.0), sure), 2).alias(f"{SURE}cut_type"))
 
-    def kernel(image: np.ndarray) -> list[dict]:
-        mask = px.ink(image)
-        h, w = mask.shape
-        a, b = max(int(h * 0.15), 1), max(int(w * 0.15), 1)
-        strips = [px.open_lines(m, max(m.shape[1] // 20, 10), 1).any(axis=0).mean() for m in (mask[:a], mask[-a:], np.ascontiguousarray(mask[:, :b].T), np.ascontiguousarray(mask[:, -b:].T))]
-        return [{"coverage": float(np.mean(strips))}]
 
-    mean = pg.per_image(pages, keys, "coverage double", kernel).groupBy(book).agg(F.avg("coverage").alias("c"))
-    return mean.select(book, pg.line_wear(F.col("c")).alias("border_wear"), F.least(F.lit(1.0), 0.5 + 2 * F.abs(F.col("c") - 0.55)).alias("wear_confidence"))
+Analyzer = Callable[[DataFrame, str, str], DataFrame]
+#: In order; of decisions with one name the last one's holds.
+ANALYZERS: dict[str, Analyzer] = {"color": color, "layout": layout, "interference": interference, "border": border, "text": text, "font": font}
 
 
-ANALYZERS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {
-    "color": lambda pages, keys: pg.color_mode(pg.color_features(pages, keys)).drop("confidence"),
-    "layout": lambda pages, keys: layout(page_shape(pages, keys)),
-    "cut": lambda pages, keys: cut_type(page_shape(pages, keys)),
-    "wear": lambda pages, keys: border_wear(pages, keys),
-    "text": lambda pages, keys: fixed_count(peak_counts(pg.ink_profiles(pages, keys), keys, "y", 0.15, 35, 10, 35), order=keys[-1]),
-}
+def merged(parts: Sequence[DataFrame], book: str) -> DataFrame:
+    """The decisions side by side, a later part's column in place of an earlier one's, and
+    ``detection_confidence``, the map of what is known of how sure they are."""
+    last = {c: k for k, p in enumerate(parts) for c in p.columns if c != book}
+    kept = [p.select(book, *[c for c in p.columns if last.get(c) == k]) for k, p in enumerate(parts)]
+    out = reduce(lambda a, b: a.join(b, book, "full"), kept)
+    sure = [c for c in out.columns if c.startswith(SURE)]
+    entries = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c.removeprefix(SURE)).alias("key"), F.col(c).cast("double").alias("value"))) for c in sure]))
+    return out.withColumn("detection_confidence", F.map_from_entries(entries)).drop(*sure)
 
 
-def analyze(pages: DataFrame, keys: Sequence[str] = ("book", "path")) -> DataFrame:
+def analyze(pages: DataFrame, keys: Sequence[str] = ("book", "path"), analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
     """One row per book: every registered analyzer over its first pages (``keys`` begin with
     ``book``)."""
-    few = sample(pages, keys[0], keys[-1])
-    parts = [f(few, keys) for f in ANALYZERS.values()]
-    return reduce(lambda a, b: a.join(b, keys[0], "full"), parts)
+    m = measured(sample(pages, keys[0], keys[-1]), keys)
+    return merged([f(m, keys[0], keys[-1]) for f in (analyzers or ANALYZERS).values()], keys[0])

@@ -1,7 +1,7 @@
 """From page images to relations: profiles, halves, tables.
 
-One Arrow-batched pass over the images turns pixels into vectors; the image bytes go no
-further, so no shuffle carries them.
+One Arrow-batched pass over the images turns pixels into vectors, lines, halves or packed
+masks; the image bytes go no further, so no shuffle carries them.
 """
 
 from __future__ import annotations
@@ -10,9 +10,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import measures as ms
 from ..functions import pixels as px
 from . import sequence as sq
 
@@ -52,49 +53,58 @@ def points(profiles: DataFrame, keys: Keys) -> DataFrame:
     return profiles.select(*keys, "axis", F.posexplode("values").alias("pos", "v"))
 
 
-def fold_center(profiles: DataFrame, keys: Keys, low: float = 0.35, high: float = 0.65) -> DataFrame:
-    """``center``: the darkest place of the middle part of the column profile, the first on
-    ties; where an open spread is cut in two."""
-    x = points(profiles.where("axis = 'x'"), keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    middle = x.withColumn("n", n).where((F.col("pos") >= F.floor(F.col("n") * low)) & (F.col("pos") < F.floor(F.col("n") * high)))
-    return middle.groupBy(*keys).agg(F.max_by("pos", F.struct("v", -F.col("pos"))).alias("center"))
+def segments(pages: DataFrame, keys: Keys, least: int = 30) -> DataFrame:
+    """``keys, x1, y1, x2, y2, width``: the straight ruled stretches of every page."""
+    return per_image(pages, keys, "x1 double, y1 double, x2 double, y2 double, width double", lambda image: px.line_segments(px.ink(image), least))
 
 
-def halves(pages: DataFrame, centers: DataFrame, keys: Keys) -> DataFrame:
-    """``keys, sub, width, height, data``: the right half first, then the left."""
-    both = pages.join(centers, list(keys)).withColumn("image", F.struct("image.height", "image.width", "image.nChannels", "image.data"))
-    fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    schema = ", ".join([*(f"{k} {fields[k]}" for k in keys), "sub string, part int, width int, height int, data binary"])
-    narrow = both.select(*keys, "center", *[F.col(f"image.{c}").alias(f"_{c}") for c in ("height", "width", "nChannels", "data")])
+def sizes(pages: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, page_width, page_height``, without decoding."""
+    return pages.select(*keys, F.col("image.width").alias("page_width"), F.col("image.height").alias("page_height"))
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.to_dict("records"):
-                image = px.from_row(row["_height"], row["_width"], row["_nChannels"], row["_data"])
-                for part, (sub, piece) in enumerate((("right", image[:, row["center"] :]), ("left", image[:, : row["center"]]))):
-                    out.append({k: row[k] for k in keys} | {"sub": sub, "part": part, "width": piece.shape[1], "height": piece.shape[0], "data": np.ascontiguousarray(piece).tobytes()})
-            yield pd.DataFrame(out, columns=[*keys, "sub", "part", "width", "height", "data"])
 
-    return narrow.mapInPandas(cut, schema)
+def ink_masks(pages: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, height, width, bits``: a page's ink, a bit a cell.  A join that needs a page's
+    cells again carries these, a 24th of the image."""
+
+    def kernel(image: np.ndarray) -> list[dict]:
+        mask = px.gray(image) < 128
+        return [{"height": mask.shape[0], "width": mask.shape[1], "bits": np.packbits(mask).tobytes()}]
+
+    return per_image(pages, keys, "height int, width int, bits binary", kernel)
+
+
+def halves(pages: DataFrame, keys: Keys, fixed: bool = False) -> DataFrame:
+    """``keys, sub, part, center, width, height, data``: the right half first, then the left,
+    cut at the fold that the same pass finds, or in the middle if ``fixed``."""
+
+    def kernel(image: np.ndarray) -> list[dict]:
+        c = image.shape[1] // 2 if fixed else ms.fold_center(px.gray(image))
+        parts = (("right", image[:, c:]), ("left", image[:, :c]))
+        return [{"sub": s, "part": k, "center": c, "width": p.shape[1], "height": p.shape[0], "data": np.ascontiguousarray(p).tobytes()} for k, (s, p) in enumerate(parts)]
+
+    return per_image(pages, keys, "sub string, part int, center int, width int, height int, data binary", kernel)
+
+
+def cut_document(halves_: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, cut``: where a page was cut and the sizes of its parts, as a JSON document."""
+    part = F.struct("part", F.struct("sub", "width", "height").alias("p"))
+    got = halves_.groupBy(*keys).agg(F.first("center").alias("center"), F.sort_array(F.collect_list(part)).alias("a"))
+    return got.select(*keys, F.to_json(F.struct(F.col("center"), F.transform("a", lambda x: x["p"]).alias("parts"))).alias("cut"))
 
 
 def table_lines(pages: DataFrame, keys: Keys, coverage: float = 0.10, min_gap: int = 25) -> DataFrame:
-    """``axis, pos, strength``: ruled lines of a table page, from each axis's profile of long
-    runs; of lines within ``min_gap`` the stronger stays."""
+    """``axis, pos, strength``: ruled lines of a table page, the runs of each axis's profile
+    of long strokes; of lines within ``min_gap`` the stronger stays."""
 
     def kernel(image: np.ndarray) -> list[dict]:
-        mask = px.ink(image)
-        return [{"axis": a, "values": px.line_profile(mask, k).tolist()} for k, a in ((1, "h"), (0, "v"))]
+        mask, out = px.ink(image), []
+        for k, a in ((1, "h"), (0, "v")):
+            v = px.line_profile(mask, k)
+            out += [{"axis": a, "pos": (s + e) // 2, "strength": float(v[s:e].max())} for s, e in ms.runs(v > coverage)]
+        return out
 
-    p = points(per_image(pages, keys, "axis string, values array<double>", kernel), keys)
-    own = [*keys, "axis"]
-    runs = sq.runs(p, own, "pos", F.col("v") > coverage)
-    inside = (F.col("pos") >= F.col("run_start")) & (F.col("pos") < F.col("run_end"))
-    strong = runs.join(p, own).where(inside).groupBy(*own, "run_start", "run_end").agg(F.max("v").alias("strength"))
-    lines = strong.withColumn("pos", F.floor((F.col("run_start") + F.col("run_end")) / 2).cast("int"))
-    return sq.stronger_replaces(lines, own, "pos", "strength", min_gap)
+    return sq.stronger_replaces(per_image(pages, keys, "axis string, pos int, strength double", kernel), [*keys, "axis"], "pos", "strength", min_gap)
 
 
 def table_cells(lines: DataFrame, keys: Keys) -> DataFrame:
@@ -117,32 +127,18 @@ def cell_texts(cells: DataFrame, words: DataFrame, keys: Keys, least: float = 0.
     return cells.join(got, [*keys, "row", "col"], "left").withColumns({"text": F.coalesce("text", F.lit("")), "confidence": F.coalesce("confidence", F.lit(0.0)), "n": F.coalesce("n", F.lit(0))})
 
 
-def color_features(pages: DataFrame, keys: Keys) -> DataFrame:
-    """``saturated`` (share of cells with saturation over 30) and ``hue_bins`` (36 counts of
-    those cells' hues) per page."""
-
-    def kernel(image: np.ndarray) -> list[dict]:
-        if image.ndim == 2:
-            return [{"saturated": 0.0, "hue_bins": [0] * 36}]
-        h = px.hsv(image)
-        on = h[..., 1] > 30
-        return [{"saturated": float(on.mean()), "hue_bins": np.bincount(np.minimum(h[..., 0][on] // 5, 35), minlength=36).tolist()}]
-
-    return per_image(pages, keys, "saturated double, hue_bins array<bigint>", kernel)
-
-
-def color_mode(features: DataFrame, book: str = "book", cut: float = 0.08) -> DataFrame:
-    """Per book ``color_mode, background_color, confidence`` by the mean share, and the
-    fullest hue (first on ties) of its coloured pages."""
-    mean = features.groupBy(book).agg(F.avg("saturated").alias("mean"))
-    bins = features.where(F.col("saturated") > cut).select(book, F.posexplode("hue_bins").alias("bin", "n")).groupBy(book, "bin").agg(F.sum("n").alias("n"))
-    top = bins.groupBy(book).agg(F.max_by("bin", F.struct("n", -F.col("bin"))).alias("bin"))
-    both = mean.join(top, book, "left")
-    hue = F.col("bin") * 5 + 2.5
-    colored = F.col("mean") > cut
-    back = F.when(~colored, "white").when(hue.between(5, 40), "xuan").otherwise("other")
-    confidence = F.least(F.lit(1.0), F.abs(F.col("mean") - cut) * 10 + 0.5)
-    return both.select(book, F.when(colored, "colored").otherwise("bw").alias("color_mode"), back.alias("background_color"), confidence.alias("confidence"))
+def table_document(texts: DataFrame, lines: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, result``: one JSON document per table page: its lines, and the cells that hold
+    text in order, the confidence to three places."""
+    box = F.array("x0", "y0", "x1", "y1").alias("bbox")
+    size = F.array(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")).alias("size")
+    cell = F.struct("row", "col", F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), box, size, "text", F.round("confidence", 3).alias("confidence"), F.length("text").alias("char_count"))
+    some = F.col("text") != ""
+    cells = texts.groupBy(*keys).agg((F.max("row") + 1).alias("rows"), (F.max("col") + 1).alias("cols"), F.array_sort(F.collect_list(F.when(some, cell))).alias("cells"))
+    at = lambda a: F.array_sort(F.collect_list(F.when(F.col("axis") == a, F.col("pos"))))
+    ruled = lines.groupBy(*keys).agg(at("h").alias("h_lines"), at("v").alias("v_lines"))
+    both = cells.join(ruled, list(keys))
+    return both.select(*keys, F.to_json(F.struct(F.struct("rows", "cols", "h_lines", "v_lines").alias("table"), "cells")).alias("result"))
 
 
 def line_wear(coverage: Column) -> Column:

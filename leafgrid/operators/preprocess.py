@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import measures as ms
 from ..functions import pixels as px
 
 Keys = Sequence[str]
@@ -67,18 +68,35 @@ def enhance_lines(image: np.ndarray) -> list[tuple[str, np.ndarray]]:
 
 
 def split(image: np.ndarray) -> list[tuple[str, np.ndarray]]:
-    """At the darkest column of the middle third; the right half comes first."""
-    w = image.shape[1]
-    a, b = int(w * 0.35), max(int(w * 0.65), int(w * 0.35) + 1)
-    c = a + int(px.gray(image)[:, a:b].mean(axis=0).argmin())
+    """At the fold; the right half comes first."""
+    c = ms.fold_center(px.gray(image))
     return [("_right", image[:, c:]), ("_left", image[:, :c])]
 
 
+def crop_spine(image: np.ndarray, dark: float = 20, recovered: float = 0.6, sure: float = 0.3) -> list[tuple[str, np.ndarray]]:
+    """Without the shadow of the spine at one edge: the darkest column of an edge strip must
+    be darker than the strip's far side, and the cut is where 60 % of that is made up."""
+    level = px.gray(image).mean(axis=0)
+    n = max(len(level) // 7, 20)
+    best = (0.0, 0, len(level))
+    for flip in (False, True):
+        v = level[::-1][:n] if flip else level[:n]
+        far = float(v[-5:].mean())
+        at = int(v.argmin())
+        drop = far - float(v[at])
+        if drop < dark or min(1.0, drop / 40) <= max(best[0], sure):
+            continue
+        back = np.flatnonzero(v[at:] >= v[at] + recovered * drop)
+        end = at + int(back[0]) if len(back) else n
+        best = (min(1.0, drop / 40), 0, len(level) - end) if flip else (min(1.0, drop / 40), end, len(level))
+    return [("", image[:, best[1] : best[2]])]
+
+
 def binarize(image: np.ndarray) -> list[tuple[str, np.ndarray]]:
     return [("", px.adaptive_binary(image))]
 
 
-STEPS: dict[str, Step] = {"deskew": deskew, "crop": crop, "enhance_lines": enhance_lines, "split": split, "binarize": binarize}
+STEPS: dict[str, Step] = {"deskew": deskew, "crop": crop, "enhance_lines": enhance_lines, "split": split, "binarize": binarize, "crop_spine": crop_spine}
 
 
 def run(pages: DataFrame, plan: DataFrame, keys: Keys = ("book", "path"), steps: dict[str, Step] | None = None) -> DataFrame:

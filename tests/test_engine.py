@@ -32,7 +32,8 @@ def test_profiles_of_books(spark, shelf):
     got = {r["book"]: r for r in api.Engine(spark).recognize_profile(shelf).collect()}
     assert (got["half"]["layout"], got["half"]["color_mode"], got["half"]["border_wear"]) == ("cut_half", "bw", "light")
     assert (got["wide"]["layout"], got["wide"]["color_mode"], got["wide"]["background_color"]) == ("spread", "colored", "xuan")
-    assert got["half"]["lines_per_page"] == 8
+    assert got["half"]["lines_per_page"] == 3 and got["half"]["font_type"] == "printed" and got["half"]["text_color"] == "black"
+    assert set(got["half"]["detection_confidence"]) >= {"layout", "lines_per_page", "color_mode", "border_wear", "font_type", "chars_per_line"}
 
 
 def test_stored_profile_and_manifest(spark, shelf):
@@ -57,7 +58,8 @@ def test_sampling_and_mode(spark):
     assert an.sample(df).count() == 10
     assert tuple(an.mode_or(df, "book", "count", "path", 5).first()) == ("a", 9, 0.7)
     assert tuple(an.mode_or(df.where("count is null"), "book", "count", "path", 5).first()) == ("a", 5, 0.3)
-    assert tuple(an.fixed_count(df).first()) == ("a", True, 9, 0.5)
+    m = df.select("book", "path", F.col("count").alias("characters"), F.lit(False).alias("notes"))
+    assert tuple(an.text(m, "book", "path").first()) == ("a", True, 9, False, 0.5, 1.0)
 
 
 def test_progress_as_a_stream(spark, tmp_path):

@@ -1,10 +1,12 @@
 """Pixel kernels against definitions, and synthetic pages through the image source."""
 
+import json
 import struct
 import zlib
 
 import numpy as np
 import pytest
+from leafgrid.functions import measures as ms
 from leafgrid.functions import pixels as px
 from leafgrid.operators import pages as pg
 from leafgrid.sources import scan
@@ -70,19 +72,65 @@ def test_table_grid(spark, pages):
     assert pg.table_cells(pg.table_lines(pages.where("stem = 'p_3'"), ["book", "stem"]), ["book", "stem"]).count() == 0
 
 
-def test_fold_and_halves(pages):
+def test_halves_are_cut_at_the_fold(pages):
     p = pages.where("stem = 'p_2'")
-    center = pg.fold_center(pg.ink_profiles(p, ["book", "stem"]), ["book", "stem"])
-    assert center.first()["center"] == 198
-    got = pg.halves(p, center, ["book", "stem"]).orderBy("part").collect()
-    assert [(r["sub"], r["width"], r["height"]) for r in got] == [("right", 202, 200), ("left", 198, 200)]
-
-
-def test_color_mode(pages):
-    features = pg.color_features(pages.where("stem = 'p_3'"), ["book", "stem"])
-    assert features.first()["saturated"] == 1.0
-    r = pg.color_mode(features).first()
-    assert (r["color_mode"], r["background_color"], r["confidence"]) == ("colored", "xuan", 1.0)
+    got = pg.halves(p, ["book", "stem"]).orderBy("part").collect()
+    assert [(r["sub"], r["width"], r["height"], r["center"]) for r in got] == [("right", 201, 200, 199), ("left", 199, 200, 199)]
+    assert [r["width"] for r in pg.halves(p, ["book", "stem"], fixed=True).orderBy("part").collect()] == [200, 200]
+    doc = json.loads(pg.cut_document(pg.halves(p, ["book", "stem"]), ["book", "stem"]).first()["cut"])
+    assert doc["center"] == 199 and [x["sub"] for x in doc["parts"]] == ["right", "left"]
+
+
+def test_fold_lies_between_two_border_lines():
+    gray = np.full((200, 1000), 240, np.uint8)
+    gray[:, 470:476] = gray[:, 530:536] = 20
+    gray[:, 400:404] = 100  # a weaker line nearer to the middle third's edge
+    assert ms.fold_center(gray) == (476 + 530) // 2
+    gray[:, 530:536] = gray[:, 400:404] = 240
+    assert 470 <= ms.fold_center(gray) <= 476
+    assert 350 <= ms.fold_center(np.full((50, 1000), 200, np.uint8)) < 650
+
+
+def test_segments_of_ruled_lines():
+    mask = np.zeros((300, 400), bool)
+    mask[50:53, 20:380] = True
+    mask[20:280, 100:102] = True
+    for x in range(20, 380):  # a slanted line, 1 in 60
+        mask[200 + x // 60, x] = True
+    mask[120:128, 200:212] = True  # a blot
+    got = sorted((round(s["x1"]), round(s["y1"]), round(s["x2"]), round(s["y2"]), round(s["width"], 1)) for s in px.line_segments(mask))
+    assert got[0] == (20, 51, 379, 51, 3.0) or got[1] == (20, 51, 379, 51, 3.0)
+    assert (100, 20, 100, 279, 2.0) in got or (101, 20, 101, 279, 2.0) in got
+    slanted = [s for s in px.line_segments(mask) if s["y1"] > 190 and s["x2"] - s["x1"] > 100]
+    assert len(slanted) == 1 and abs((slanted[0]["y2"] - slanted[0]["y1"]) / (slanted[0]["x2"] - slanted[0]["x1"]) - 1 / 60) < 0.003
+    assert len(got) == 3 and px.line_segments(np.zeros((40, 40), bool)) == []
+
+
+def test_masks_are_the_ink(pages):
+    r = pg.ink_masks(pages.where("stem = 'p_1'"), ["book", "stem"]).first()
+    mask = np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: r["height"] * r["width"]].reshape(r["height"], r["width"])
+    assert mask[40:43, 50:450].all() and mask[5].sum() == 0 and len(r["bits"]) == 400 * 500 // 8
+
+
+def test_distances_and_peaks():
+    mask = np.zeros((9, 11), bool)
+    mask[1:8, 1:10] = True
+    d = ms.distances(mask)
+    assert d[0, 0] == 0 and abs(d[1, 5] - 0.955) < 1e-9 and abs(d[4, 5] - 4 * 0.955) < 1e-9
+    v = np.zeros(60)
+    v[[10, 12, 30, 50]] = (5, 6, 4, 9)
+    assert ms.peaks(v, 1, 5) == [12, 30, 50] and ms.peaks(v, 5, 5) == [12, 50]
+    assert ms.line_count(list(range(0, 90, 10)), 300) == 8 and ms.line_count([1, 2], 300) is None
+    assert ms.runs(np.array([1, 1, 0, 1], bool)) == [(0, 2), (3, 4)] and ms.longest_run(np.zeros(3, bool)) == (0, 0)
+
+
+def test_table_document(spark, pages):
+    keys = ["book", "stem"]
+    lines = pg.table_lines(pages.where("stem = 'p_1'"), keys)
+    words = spark.createDataFrame([("book1", "p_1", "b", 0.9, 100.0, 100.0)], "book string, stem string, text string, confidence double, x double, y double")
+    doc = json.loads(pg.table_document(pg.cell_texts(pg.table_cells(lines, keys), words, keys), lines, keys).first()["result"])
+    assert doc["table"] == {"rows": 3, "cols": 3, "h_lines": [41, 141, 241, 341], "v_lines": [51, 151, 301, 448]}
+    assert [(c["row"], c["col"], c["text"], c["confidence"], c["bbox"]) for c in doc["cells"]] == [(0, 0, "b", 0.9, [51, 41, 151, 141])]
 
 
 def test_run_and_component_kernels():

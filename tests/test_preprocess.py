@@ -23,7 +23,7 @@ def test_crop_and_split():
     assert pp.crop(blank)[0][1].shape == (120, 120)
     image[:, 210:214] = 0
     parts = pp.split(image)
-    assert [(s, p.shape[1]) for s, p in parts] == [("_right", 190), ("_left", 210)]
+    assert [(s, p.shape[1]) for s, p in parts] == [("_right", 189), ("_left", 211)]
 
 
 def test_deskew_straightens():
