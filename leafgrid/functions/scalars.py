@@ -63,3 +63,13 @@ def expand_ranges(text: Column) -> Column:
     first = lambda p: F.get(ends(p), F.lit(0)).cast("int")
     last = lambda p: F.coalesce(F.get(ends(p), F.lit(1)).cast("int"), first(p))
     return F.flatten(F.transform(part, lambda p: F.sequence(first(p), last(p))))
+
+
+def cell_label(index: Column, sub: Column) -> Column:
+    """``i``, or ``i.sub`` in a double row, counted from 1."""
+    return F.concat_ws(".", (index + 1).cast("string"), sub.cast("string"))
+
+
+def in_numbers(number: Column, text: Column) -> Column:
+    """Whether a number is one of ``'all'``, ``'3-6'`` or ``'1,4'``."""
+    return F.when(F.lower(F.trim(text)) == "all", F.lit(True)).otherwise(F.array_contains(expand_ranges(F.when(F.lower(F.trim(text)) != "all", text)), number))

@@ -9,18 +9,23 @@ Every step is a window, join or aggregate on the column's keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sequence as sq
+from .interlinear import two_humps
 from .joins import containment_or_nearest
 
 Keys = Sequence[str]
 
 BREAK, LEAST_HEIGHT, LEAST_CLIPPED = 3.0, 10, 5.0
 SPLIT, MARGIN = 1.4, 0.5
+#: Narrower columns hold no characters.
+LEAST_WIDTH = 30
 
 
 def inked_regions(profile: DataFrame, keys: Keys, char_height: Column, ink: float = 2.0) -> DataFrame:
@@ -72,12 +77,9 @@ def cells(cols: DataFrame, regions: DataFrame, words: DataFrame, keys: Keys) ->
     top, bottom = F.greatest("r_top", "top"), F.least("r_bottom", "bottom")
     kept = kept.select(*keys, top.alias("r_top"), bottom.alias("r_bottom")).where(F.col("r_bottom") - F.col("r_top") >= LEAST_CLIPPED)
     fused = fuse(kept, words, keys).join(cols, list(keys)).where(F.col("ord") < F.col("expected"))
-    per = Window.partitionBy(*keys)
     h = (F.col("bottom") - F.col("top")) / F.col("expected")
-    n = F.count(F.lit(1)).over(per)
-    center = F.min(F.when(F.col("ord") == 0, (F.col("r_top") + F.col("r_bottom")) / 2)).over(per)
-    start = F.greatest(F.lit(0), F.least(F.col("expected") - n, ((center - F.col("top")) / h).cast("int")))
-    placed = fused.select(*keys, (start + F.col("ord")).cast("int").alias("index"), "ord", F.col("r_top").cast("double"), F.col("r_bottom").cast("double"))
+    fused = sq.consecutive_slots(fused, keys, "ord", (F.col("r_top") + F.col("r_bottom")) / 2, F.col("top"), h, F.col("expected"), "index")
+    placed = fused.select(*keys, F.col("index").cast("int").alias("index"), "ord", F.col("r_top").cast("double"), F.col("r_bottom").cast("double"))
     letter = words.withColumn("mid", (F.col("w_top") + F.col("w_bottom")) / 2)
     letter = letter.select(*keys, "text", (F.row_number().over(Window.partitionBy(*keys).orderBy("mid", "word_id")) - 1).alias("ord"))
     slots = cols.select(*keys, "top", "bottom", "expected", F.explode(F.sequence(F.lit(0), F.col("expected") - 1)).alias("index"))
@@ -105,12 +107,82 @@ def cells(cols: DataFrame, regions: DataFrame, words: DataFrame, keys: Keys) ->
     return own.unionByName(head).unionByName(foot)
 
 
-def page_json(cells_: DataFrame, cols: DataFrame, keys: Keys, column: str) -> DataFrame:
+def usual_height(regions: DataFrame, keys: Keys, height: Column) -> DataFrame:
+    """``keys, char_height, overlaps``: the median distance of neighbouring regions' middles
+    among those within 0.4 and 2 of ``height`` (exclusive), held within 0.7 and 1.3 of it (and it
+    itself without any); whether two neighbours overlap by more than 0.3 of it."""
+    w = Window.partitionBy(*keys).orderBy("r_top", "r_bottom")
+    r = regions.withColumn("_h", height).withColumn("_c", (F.col("r_top") + F.col("r_bottom")) / 2)
+    r = r.withColumn("_gap", F.lead("_c").over(w) - F.col("_c")).withColumn("_over", F.col("r_bottom") - F.lead("r_top").over(w))
+    fair = F.when((F.col("_gap") > 0.4 * F.col("_h")) & (F.col("_gap") < 2 * F.col("_h")), F.col("_gap"))
+    g = r.groupBy(*keys).agg(F.median(fair).alias("m"), F.first("_h").alias("h"), F.coalesce(F.bool_or(F.col("_over") > 0.3 * F.col("_h")), F.lit(False)).alias("overlaps"))
+    held = F.greatest(F.least("m", F.col("h") * 1.3), F.col("h") * 0.7)
+    return g.select(*keys, F.coalesce(F.when(F.col("m").isNotNull(), held), F.col("h")).alias("char_height"), "overlaps")
+
+
+def mean_height(columns: DataFrame, page: Keys, height: str = "char_height") -> DataFrame:
+    """The mean character height of a page's columns, 0 without any."""
+    return columns.groupBy(*page).agg(F.coalesce(F.avg(height), F.lit(0.0)).alias("char_height"))
+
+
+def column_profiles(masks: DataFrame, cols: DataFrame, keys: Keys, pad: int = 4) -> DataFrame:
+    """``keys, idx, top, bottom, rows, humps``: ink per row of every column of every page inside
+    its frame, and whether the whole column shows two humps.  ``cols`` has ``keys, idx,
+    left_x, right_x, top, bottom``; columns narrower than ``LEAST_WIDTH`` are left out."""
+    one = F.struct("idx", F.col("left_x").cast("double").alias("left_x"), F.col("right_x").cast("double").alias("right_x"), F.col("top").cast("double").alias("top"), F.col("bottom").cast("double").alias("bottom"))
+    page = cols.where(F.col("right_x") - F.col("left_x") >= LEAST_WIDTH).groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("cols"))
+    both = masks.join(page, list(keys))
+    types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "idx int, top double, bottom double, rows array<int>, humps boolean"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                h, w = row["height"], row["width"]
+                mask = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8))[: h * w].reshape(h, w)
+                for c in row["cols"]:
+                    a, b = max(int(c["left_x"]) + pad, 0), min(int(c["right_x"]) - pad, w)
+                    t, e = max(int(c["top"]), 0), min(int(c["bottom"]), h)
+                    own = mask[t:e, a:b]
+                    edge = max(4, int(own.shape[1] * 0.05))
+                    dual = two_humps(own[:, edge : own.shape[1] - edge].sum(axis=0), own.shape[0]) if own.size else False
+                    out.append({k: row[k] for k in keys} | {"idx": c["idx"], "top": float(t), "bottom": float(e), "rows": own.sum(axis=1).tolist(), "humps": bool(dual)})
+            yield pd.DataFrame(out, columns=[*keys, "idx", "top", "bottom", "rows", "humps"])
+
+    return both.mapInPandas(run, schema)
+
+
+def page_json(cells_: DataFrame, cols: DataFrame, keys: Keys, column: str, page: DataFrame | None = None) -> DataFrame:
     """``page_keys, result``: one JSON document per page, columns from 0 and characters in
-    order, margins left out and missing text empty."""
-    page = [k for k in keys if k != column]
+    order, margins left out and missing text empty.  ``cols`` with ``left_x, right_x`` gives
+    positions; ``page`` (``page_keys, page_id, page_width, page_height, lines_per_page,
+    chars_per_line, char_height``, and a struct ``border``, which may be null) the head."""
+    own = [k for k in keys if k != column]
+    placed = "left_x" in cols.columns
+    both = cells_.join(cols.select(*keys, "left_x", "right_x"), list(keys)) if placed else cells_
     kind = F.when(F.col("type") == "char", "normal").otherwise(F.col("type"))
-    char = F.struct("pos", F.struct(F.coalesce("text", F.lit("")).alias("char"), F.col("index").alias("row_index"), F.struct("y_top", "y_bottom").alias("position"), kind.alias("type"), "confidence").alias("c"))
-    per = cells_.where("type <> 'margin'").groupBy(*keys).agg(F.sort_array(F.collect_list(char)).alias("a"))
-    one = F.struct((F.col(column) - 1).alias("col_index"), F.transform("a", lambda x: x["c"]).alias("characters"))
-    return per.groupBy(*page).agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("columns"))).alias("result"))
+    x = [F.round((F.col("left_x") + F.col("right_x")) / 2, 2).alias("x")] if placed else []
+    sub = ["sub_col"] if "sub_col" in cells_.columns else []
+    sure = F.when(F.col("type") != "empty", F.col("confidence")) if placed else F.col("confidence")
+    char = F.struct(F.coalesce("text", F.lit("")).alias("char"), F.col("index").alias("row_index"), F.struct(*x, "y_top", "y_bottom").alias("position"), kind.alias("type"), sure.alias("confidence"), *sub)
+    order = [F.col("index" if sub else "pos").alias("o"), *(F.col(c).alias(f"o_{c}") for c in sub)]
+    per = both.where("type <> 'margin'").groupBy(*keys, *(["left_x", "right_x"] if placed else [])).agg(F.sort_array(F.collect_list(F.struct(*order, char.alias("c")))).alias("a"))
+    where = [F.struct(F.round("left_x", 2).alias("left_x"), F.round("right_x", 2).alias("right_x")).alias("position")] if placed else []
+    one = F.struct((F.col(column) - 1).alias("col_index"), *where, F.transform("a", lambda v: v["c"]).alias("characters"))
+    made = per.groupBy(*own).agg(F.array_sort(F.collect_list(one)).alias("columns"))
+    if page is None:
+        return made.select(*own, F.to_json(F.struct("columns")).alias("result"))
+    size = F.struct(F.concat("page_id", F.lit(".jpg")).alias("file"), F.col("page_width").alias("width"), F.col("page_height").alias("height"))
+    head = F.struct("lines_per_page", "chars_per_line", "char_height", F.lit("rtl_vertical").alias("writing_direction"))
+    doc = F.struct("page_id", size.alias("image"), head.alias("layout"), "border", F.coalesce("columns", F.array()).alias("columns"))
+    return page.join(made, own, "left").select(*own, F.to_json(doc).alias("result"))
+
+
+def book_json(results: DataFrame, book: str, page: str, profile: str | None = None) -> DataFrame:
+    """``book, result``: a book's page documents in one, in the order of ``page``."""
+    doc = F.struct(F.col(page).alias("p"), "result")
+    held = results.groupBy(book, *([profile] if profile else [])).agg(F.sort_array(F.collect_list(doc)).alias("a"))
+    pages = F.concat(F.lit("["), F.array_join(F.transform("a", lambda x: x["result"]), ","), F.lit("]"))
+    head = F.to_json(F.struct(F.col(book).alias("book"), *([F.col(profile).alias("profile")] if profile else [])))
+    return held.select(book, F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"pages":'), pages, F.lit("}")).alias("result"))

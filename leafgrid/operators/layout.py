@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import angle_from_vertical, segment_kind
+from .joins import best_candidate
 
 Keys = Sequence[str]
 
@@ -23,6 +24,13 @@ MIN_COVERAGE, LAYER_DIST, EDGE, SLOPE_DIFF = 0.3, 80.0, 10.0, 0.02
 MIN_LENGTH = 30.0
 
 
+def tolerances(profiles: DataFrame) -> DataFrame:
+    """``book, pos_tol, max_gap, min_coverage``: wider and lower for heavily worn borders."""
+    heavy = F.col("border_wear") == "heavy"
+    scaled = lambda base, by: F.when(heavy, base * by).otherwise(F.lit(base))
+    return profiles.select("book", scaled(POS_TOL, 1.3).alias("pos_tol"), scaled(MAX_GAP, 1.5).alias("max_gap"), scaled(MIN_COVERAGE, 0.7).alias("min_coverage"))
+
+
 def classify(segments: DataFrame, least: float = MIN_LENGTH, tolerance: float = 10.0) -> DataFrame:
     """Segments ``x1, y1, x2, y2`` long enough, with ``length``, ``angle`` and ``type``."""
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -223,9 +231,107 @@ def column_stats(cols: DataFrame, keys: Keys, expected: int | None = None) -> Da
     return out if expected is None else out.withColumn("mismatch", F.when(F.col("num_columns") != expected, F.struct(F.lit(expected).alias("expected"), F.col("num_columns").alias("detected"))))
 
 
-def detect(segments: DataFrame, pages: DataFrame, keys: Keys) -> DataFrame:
-    """Columns of every page from its segments."""
+def corrected(cols: DataFrame, keys: Keys, expected: Column) -> DataFrame:
+    """Columns of pages that have fewer than ``expected``, uneven in width: those wider than one
+    and a half of the expected width are cut evenly into as many as they hold; numbered from
+    the right.  Other pages keep their columns."""
+    w = Window.partitionBy(*keys)
+    mean, std = F.avg("width").over(w), F.stddev_pop("width").over(w)
+    c = cols.withColumn("_want", expected).withColumn("_few", (F.count(F.lit(1)).over(w) < F.col("_want")) & (F.coalesce(F.try_divide(std, mean), F.lit(0.0)) >= 0.15))
+    c = c.withColumn("_usual", (F.max("right_x").over(w) - F.min("left_x").over(w)) / F.col("_want"))
+    pieces = F.when(F.col("_few") & (F.col("width") > 1.5 * F.col("_usual")), F.greatest(F.bround(F.col("width") / F.col("_usual")).cast("int"), F.lit(1))).otherwise(F.lit(1))
+    c = c.withColumn("_n", pieces).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumn("_part", F.col("width") / F.col("_n"))
+    left = F.col("left_x") + F.col("_k") * F.col("_part")
+    right = F.when(F.col("_n") > 1, left + F.col("_part")).otherwise(F.col("right_x"))
+    made = c.select(*keys, left.alias("left_x"), right.alias("right_x"), F.col("_part").alias("width"))
+    return made.select(*keys, F.row_number().over(w.orderBy(F.desc("left_x"), F.desc("right_x"))).alias("idx"), "left_x", "right_x", "width")
+
+
+def recovered(clusters: DataFrame, frame: DataFrame, cols: DataFrame, pairs: DataFrame, keys: Keys, expected: Column) -> DataFrame:
+    """``keys, side, at, origin``: for pages with fewer columns than ``expected`` (a column of
+    ``frame``'s page), the faint border that would make one more.
+
+    ``line``: a structural line beyond the frame that is no border, whose new column is nearest
+    to the mean width and within half and one and a half of it, right before left on ties.
+    ``width``: without one, and with even columns, the mean width beyond the frame, on the side
+    with more room.  The old border then parts columns.
+    """
+    even = F.coalesce(F.try_divide(F.stddev_pop("width"), F.avg("width")), F.lit(1.0))
+    usual = cols.groupBy(*keys).agg(F.avg("width").alias("mean"), even.alias("cv"), F.count(F.lit(1)).alias("n"))
+    page = frame.withColumn("_want", expected).join(usual, list(keys)).where(F.col("n") < F.col("_want"))
+    used = pairs.where("side in ('left', 'right')").select(*keys, F.explode(F.array("outer.cluster_id", "inner.cluster_id")).alias("cluster_id")).where("cluster_id is not null")
+    free = clusters.where("axis = 'v'").join(used, [*keys, "cluster_id"], "left_anti").join(page, list(keys))
+    free = free.where(structural(F.col("bottom") - F.col("top")))
+    at = F.col("intercept")
+    side = F.when((at > F.col("right") + 10) & (at <= F.col("page_width") - 5), 0).when((at < F.col("left") - 10) & (at >= 5), 1)
+    wide = F.when(side == 0, at - F.col("right")).otherwise(F.col("left") - at)
+    found = free.withColumn("side", side).withColumn("width", wide).where("side is not null")
+    best = best_candidate(found, keys, "width", "mean", "side", "cluster_id").join(clusters.where("axis = 'v'").select(*keys, "cluster_id", "intercept"), [*keys, "cluster_id"])
+    line = best.select(*keys, F.when(F.col("side") == 0, "right").otherwise("left").alias("side"), F.col("intercept").alias("at"), F.lit("line").alias("origin"))
+    rest = page.join(best.select(*keys), list(keys), "left_anti").where("cv < 0.10")
+    to_right, to_left = F.col("right") + F.col("mean"), F.col("left") - F.col("mean")
+    right_ok = (to_right > 10) & (to_right < F.col("page_width") - 5)
+    left_ok = (to_left > 5) & (to_left < F.col("page_width") - 10)
+    roomy = F.col("page_width") - F.col("right") >= F.col("left")
+    which = F.when(right_ok & (~left_ok | roomy), "right").when(left_ok, "left")
+    guess = rest.withColumn("side", which).where("side is not null").select(*keys, "side", F.when(F.col("side") == "right", to_right).otherwise(to_left).alias("at"), F.lit("width").alias("origin"))
+    return line.unionByName(guess)
+
+
+def with_recovered(dividers_: DataFrame, frame: DataFrame, found: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
+    """Dividers and frame with the recovered borders: the old border parts columns."""
+    both = frame.join(found.select(*keys, F.col("side").alias("_side"), F.col("at").alias("_at")), list(keys), "left")
+    old = both.where("_side is not null").select(*keys, F.lit(-1).alias("cluster_id"), F.when(F.col("_side") == "right", F.col("right")).otherwise(F.col("left")).alias("intercept"), F.lit(0.0).alias("slope"), F.lit(1.0).alias("coverage"))
+    moved = both.withColumn("right", F.when(F.col("_side") == "right", F.col("_at")).otherwise(F.col("right"))).withColumn("left", F.when(F.col("_side") == "left", F.col("_at")).otherwise(F.col("left")))
+    return dividers_.unionByName(old), moved.drop("_side", "_at")
+
+
+def sane_frame(frame: DataFrame, clusters: DataFrame, keys: Keys) -> DataFrame:
+    """A frame lower than 30 % of its page takes for its top and bottom the longest level line
+    of the outer 15 %, else the median ends of the upright lines."""
+    low = (F.col("bottom") - F.col("top")) < 0.30 * F.col("page_height")
+    flat = clusters.join(frame.where(low).select(*keys, "page_height"), list(keys))
+    zone = lambda ok: F.when((F.col("axis") == "h") & ok, F.col("intercept"))
+    top_zone, bottom_zone = F.col("intercept") < 0.15 * F.col("page_height"), F.col("intercept") > 0.85 * F.col("page_height")
+    longest = lambda ok: F.max_by(zone(ok), F.when(zone(ok).isNotNull(), F.struct("total_length", -F.col("cluster_id"))))
+    ends = F.when((F.col("axis") == "v") & (F.size("segments") > 0), F.array_min(F.transform("segments", lambda x: x["s"]))), F.when((F.col("axis") == "v") & (F.size("segments") > 0), F.array_max(F.transform("segments", lambda x: x["e"])))
+    better = flat.groupBy(*keys).agg(F.coalesce(longest(top_zone), F.median(ends[0])).alias("_t"), F.coalesce(longest(bottom_zone), F.median(ends[1])).alias("_b"))
+    both = frame.join(better, list(keys), "left")
+    return both.withColumn("top", F.coalesce("_t", "top")).withColumn("bottom", F.coalesce("_b", "bottom")).drop("_t", "_b")
+
+
+def detect(segments: DataFrame, pages: DataFrame, keys: Keys, expected: Column | None = None) -> dict[str, DataFrame]:
+    """``clusters, pairs, frame, dividers, columns`` of every page from its segments; with
+    ``expected`` columns (an expression over ``pages``), faint borders are sought and wide
+    columns cut."""
     clusters = cluster(classify(segments), keys)
     pairs = frame_pairs(clusters, pages, keys)
-    frame = inner_frame(pairs, pages, keys)
-    return columns(dividers(clusters, pairs, frame, keys), frame, keys)
+    frame = sane_frame(inner_frame(pairs, pages, keys), clusters, keys)
+    parts = dividers(clusters, pairs, frame, keys)
+    cols = columns(parts, frame, keys)
+    if expected is not None:
+        want = pages.select(*keys, expected.alias("_want"))
+        found = recovered(clusters, frame.join(want.withColumnRenamed("_want", "expected"), list(keys)), cols, pairs, keys, F.col("expected"))
+        parts, frame = with_recovered(parts, frame, found, keys)
+        cols = columns(parts, frame, keys)
+        cols = corrected(cols.join(want, list(keys)), keys, F.col("_want"))
+    return {"clusters": clusters, "pairs": pairs, "frame": frame, "dividers": parts, "columns": cols}
+
+
+def layout_document(found: dict[str, DataFrame], keys: Keys) -> DataFrame:
+    """``keys, layout``: one JSON document per page: borders by side and layer, the inner
+    frame, dividers and columns with their spread."""
+    layer = lambda c: F.struct(*[F.col(f"{c}.{f}").alias(f) for f in ("intercept", "slope", "avg_width", "total_length", "line_count", "segments")])
+    side = F.struct("side", F.when(F.col("outer").isNotNull(), layer("outer")).alias("outer"), F.when(F.col("inner").isNotNull(), layer("inner")).alias("inner"))
+    borders = found["pairs"].groupBy(*keys).agg(F.array_sort(F.collect_list(side)).alias("outer_frame"))
+    parts = found["dividers"].groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("intercept", "slope", "coverage"))).alias("column_dividers"))
+    col = F.struct(F.col("idx").alias("index"), "left_x", "right_x", "width")
+    cols = found["columns"].groupBy(*keys).agg(F.array_sort(F.collect_list(col)).alias("columns"))
+    stats = column_stats(found["columns"], keys)
+    both = found["frame"].join(borders, list(keys), "left").join(parts, list(keys), "left").join(cols, list(keys), "left").join(stats, list(keys), "left")
+    doc = F.struct(
+        F.struct(F.col("page_width").alias("width"), F.col("page_height").alias("height")).alias("image_size"),
+        F.struct("outer_frame", F.struct("top", "bottom", "left", "right").alias("inner_frame"), F.coalesce("num_columns", F.lit(0)).alias("num_columns"), "column_dividers").alias("borders"),
+        F.struct("columns", F.struct("mean", "std", "cv").alias("column_width_stats"), "is_uniform").alias("columns"),
+    )
+    return both.select(*keys, F.to_json(doc).alias("layout"))

@@ -119,11 +119,100 @@ def window_mark(df: DataFrame, keys: Keys, pos: str, flag: Column, size: int) ->
 
 
 def resolve_overlaps(df: DataFrame, keys: Keys, pos: str, top: str, bottom: str, movable: Column) -> DataFrame:
-    """Neighbours that overlap give way where movable: the upper one's bottom first, else the
-    lower one's top.  Each boundary is touched once, so neighbours suffice."""
+    """Neighbours that overlap: a movable row gives way to a fixed one, and of two movable
+    ones the later does; two fixed ones stay.  Rows then have no negative height.  Each
+    boundary is touched once, so neighbours suffice."""
     w = Window.partitionBy(*keys).orderBy(pos)
     moved = df.withColumn("_m", movable)
-    next_top, before = F.lead(top).over(w), F.lag(F.struct(F.col(bottom).alias("b"), F.col("_m").alias("m"))).over(w)
-    new_bottom = F.when(F.col("_m") & (next_top < F.col(bottom)), next_top).otherwise(F.col(bottom))
-    new_top = F.when(F.col("_m") & ~before["m"] & (before["b"] > F.col(top)), before["b"]).otherwise(F.col(top))
-    return moved.withColumn("_b", new_bottom).withColumn("_t", new_top).withColumn(bottom, F.col("_b")).withColumn(top, F.col("_t")).drop("_m", "_b", "_t")
+    after = F.lead(F.struct(F.col(top).alias("t"), F.col("_m").alias("m"))).over(w)
+    before = F.lag(F.struct(F.col(bottom).alias("b"))).over(w)
+    new_bottom = F.when(F.col("_m") & ~after["m"] & (after["t"] < F.col(bottom)), after["t"]).otherwise(F.col(bottom))
+    new_top = F.when(F.col("_m") & (before["b"] > F.col(top)), before["b"]).otherwise(F.col(top))
+    both = moved.withColumn("_b", new_bottom).withColumn("_t", new_top)
+    return both.withColumn(bottom, F.greatest("_b", "_t")).withColumn(top, F.col("_t")).drop("_m", "_b", "_t")
+
+
+def consecutive_slots(df: DataFrame, keys: Keys, ord_: str, at: Column, top: Column, height: Column, slots: Column, name: str = "slot") -> DataFrame:
+    """``name``: the first row of a key takes the slot that its place ``at`` falls into, held
+    back so that all fit, and the others the slots after it; rows beyond ``slots`` are cut."""
+    kept = df.where(F.col(ord_) < slots)
+    per = Window.partitionBy(*keys)
+    n = F.count(F.lit(1)).over(per)
+    first = F.min(F.when(F.col(ord_) == 0, ((at - top) / height).cast("long"))).over(per)
+    start = F.greatest(F.lit(0), F.least(slots - n, first))
+    return kept.withColumn(name, start + F.col(ord_))
+
+
+def usual_spacing(peaks: DataFrame, sizes: DataFrame, keys: Keys, pos: str, size: str) -> DataFrame:
+    """``spacing, lines``: the usual distance of a key's peaks (the fullest bin of distances, 3 %
+    of ``size`` wide, then the median of all within 40 % of it), and how often it fits between
+    the outermost peaks so spaced, where within 3 to 15."""
+    w = spacings(peaks, keys, pos).join(sizes.select(*keys, F.greatest(F.col(size) * 0.03, F.lit(10.0)).alias("bin")), list(keys))
+    most = F.max("width").over(Window.partitionBy(*keys))
+    w = w.withColumn("bins", F.greatest(F.floor(most / F.col("bin")) + 1, F.lit(3))).withColumn("step", (most + F.col("bin")) / F.col("bins"))
+    w = w.withColumn("k", F.least(F.floor(F.col("width") / F.col("step")), F.col("bins") - 1))
+    n = w.groupBy(*keys, "k").agg(F.count(F.lit(1)).alias("n"))
+    fullest = n.groupBy(*keys).agg(F.max_by("k", F.struct("n", -F.col("k"))).alias("fullest"))
+    w = w.join(fullest, list(keys)).withColumn("center", (F.col("fullest") + 0.5) * F.col("step"))
+    like = w.where(F.col("width").between(F.col("center") * 0.6, F.col("center") * 1.4))
+    est = like.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.median("width").alias("spacing"), (F.max("right_x") - F.min("left_x")).alias("content"))
+    lines = F.bround(F.col("content") / F.col("spacing")).cast("int")
+    return est.select(*keys, "spacing", F.when((F.col("n") >= 2) & lines.between(3, 15), lines).alias("lines"))
+
+
+def valley_cuts(v: DataFrame, keys: Keys, pos: str, value: str, height: float, least: int = 10) -> DataFrame:
+    """Where a stretch of rows (``keys, pos, value``, from 0) that holds several characters of
+    ``height`` is cut: ``keys, cut_start, cut_end``.
+
+    Cuts are at clear valleys (least of 15 % of a character on each side, below 0.35 of the
+    mean) half a character apart; without one, even.  Pieces below ``least`` join the one
+    before; a stretch of up to 1.2 characters stays whole.
+    """
+    w = Window.partitionBy(*keys)
+    half, apart = max(3, int(height * 0.15)), int(height * 0.5)
+    around = F.min(value).over(Window.partitionBy(*keys).orderBy(pos).rowsBetween(-half, half))
+    n = (F.max(pos).over(w) + 1).cast("int")
+    marked = v.withColumn("_n", n).withColumn("_mean", F.avg(value).over(w)).withColumn("_low", around)
+    valley = F.col(pos).between(half, F.col("_n") - half - 1) & (F.col(value) == F.col("_low")) & (F.col(value) < F.col("_mean") * 0.35)
+    held = marked.groupBy(*keys).agg(F.first("_n").alias("n"), F.sort_array(F.collect_list(F.when(valley, F.col(pos).cast("int")))).alias("at"))
+    none = F.array().cast("array<int>")
+    kept = F.aggregate("at", none, lambda acc, p: F.when((F.size(acc) == 0) | (p - F.element_at(acc, -1) >= apart), F.concat(acc, F.array(p))).otherwise(acc))
+    many = F.greatest(F.lit(2), F.bround(F.col("n") / height).cast("int"))
+    even = F.transform(F.sequence(F.lit(1), many - 1), lambda i: F.floor(i * F.col("n") / many).cast("int"))
+    held = held.withColumn("at", F.when(F.col("n") / height <= 1.2, none).otherwise(F.when(F.size(kept) > 0, kept).otherwise(even)))
+
+    def join_small(acc: Column, c: Column) -> Column:
+        last = F.element_at(acc, -1)
+        moved = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(c))
+        return F.when(c - last >= least, F.concat(acc, F.array(c))).when(F.size(acc) > 1, moved).otherwise(acc)
+
+    cuts = F.aggregate(F.concat("at", F.array("n")), F.array(F.lit(0)), join_small)
+    held = held.withColumn("cuts", cuts).withColumn("cuts", F.when(F.element_at("cuts", -1) == F.col("n"), F.col("cuts")).otherwise(F.concat("cuts", F.array("n"))))
+    pieces = F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), lambda i: F.struct(F.get("cuts", i - 1).alias("s"), F.get("cuts", i).alias("e")))
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
+    long = F.filter(pieces, lambda x: x["e"] - x["s"] >= least)
+    out = held.select(*keys, F.explode(F.when(F.size(long) > 0, long).otherwise(whole)).alias("x"))
+    return out.select(*keys, F.col("x.s").alias("cut_start"), F.col("x.e").alias("cut_end"))
+
+
+def split_largest(regions: Column, wanted: Column, height: Column) -> Column:
+    """An array of ``struct<s, e>`` cut evenly, the largest (first on ties) at a time and into
+    as many characters of ``height`` as it holds, until there are ``wanted`` or the largest
+    is no longer than 1.2 characters."""
+    zero = F.struct(regions.alias("r"), F.lit(False).alias("done"))
+
+    def step(acc: Column, _: Column) -> Column:
+        r = acc["r"]
+        sizes = F.transform(r, lambda x: x["e"] - x["s"])
+        top = F.array_max(sizes)
+        k = F.array_position(sizes, top).cast("int")
+        missing = wanted - F.size(r)
+        n = F.least(missing + 1, F.greatest(F.lit(2), F.bround(top / height).cast("int"))).cast("int")
+        stop = acc["done"] | (missing <= 0) | (n <= 1) | (top < height * 1.2)
+        own = F.get(r, k - 1)
+        cut = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.struct((own["s"] + i * top / n).alias("s"), (own["s"] + (i + 1) * top / n).alias("e")))
+        grown = F.concat(F.slice(r, 1, k - 1), cut, F.slice(r, k + 1, F.size(r)))
+        return F.struct(F.when(stop, r).otherwise(grown).alias("r"), stop.alias("done"))
+
+    rounds = F.when((F.size(regions) > 0) & (wanted > F.size(regions)), F.sequence(F.lit(1), wanted - F.size(regions))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(rounds, zero, step, lambda acc: acc["r"])

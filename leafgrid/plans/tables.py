@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
 from ..operators import aggregates as ag
+from ..operators import equidistant as eq
+from ..operators import grid as gr
+from ..operators import interlinear as il
 from ..operators import joins as jn
+from ..operators import layout
 from ..operators import sequence as sq
 from ..sources import profiles as pf
 from ..sources import scan
@@ -65,10 +69,35 @@ r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY url, page_id) AS k
 SELECT page_id, host, stem, page_no FROM r WHERE k <= 10
 """)
 def page_scan_filter(spark, sf):
-    p = t(spark, sf, "pages").select("page_id", "url", fn.clean_stem(F.col("url")).alias("stem"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
-    p = p.withColumn("page_no", fn.last_number(F.col("stem"))).where("page_no is null or page_no not in (3, 7)")
-    rank = F.row_number().over(Window.partitionBy("host").orderBy("url", "page_id"))
-    return p.withColumn("k", rank).where("k <= 10").select("page_id", "host", "stem", "page_no")
+    p = t(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
+    return scan.select_pages(p, "url", ("host",), skip_pages=(3, 7), limit=10, endings=None, ties=("page_id",)).select("page_id", "host", "stem", "page_no")
+
+
+@query("""
+WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/]+)', 1) AS host, try_cast(string_split(regexp_replace(regexp_replace(url, '^.*/', ''), '\\.[^.]*$', ''), '_')[-1] AS INT) AS page_no FROM pages)
+SELECT page_id, host, page_no, (row_number() OVER (PARTITION BY host ORDER BY page_no, url, page_id) - 1)::INT AS place,
+  lpad(page_no::VARCHAR, length(max(page_no) OVER (PARTITION BY host)::VARCHAR)::INT, '0') AS padded FROM p WHERE page_no IS NOT NULL
+""")
+def volume_listing(spark, sf):
+    p = t(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
+    return scan.volume_pages(p, "url", ("host",), ("page_id",)).select("page_id", "host", "page_no", "place", "padded")
+
+
+@query("SELECT page_id, unnest(['' || page_id, page_id || '_left', page_id || '_right']) AS half FROM pages")
+def half_names(spark, sf):
+    p = t(spark, sf, "pages").select("page_id", F.col("page_id").cast("string").alias("stem"))
+    return scan.half_names(p).select("page_id", "half")
+
+
+@query("""
+SELECT o_orderkey, q.spec FROM orders, (VALUES ('all'), ('3-6'), ('1,9,12')) q(spec)
+WHERE o_orderkey < 40 AND (spec = 'all' OR (spec = '3-6' AND o_orderkey BETWEEN 3 AND 6) OR (spec = '1,9,12' AND o_orderkey IN (1, 9, 12)))
+""")
+def volume_dsl(spark, sf):
+    """Three choices of numbers, each over the first forty orders: the choice is what is shown."""
+    specs = spark.sql("select explode(array('all', '3-6', '1,9,12')) as spec")
+    o = t(spark, sf, "orders").where("o_orderkey < 40").select("o_orderkey")
+    return o.join(F.broadcast(specs)).where(fn.in_numbers(F.col("o_orderkey").cast("int"), F.col("spec"))).select("o_orderkey", "spec")
 
 
 @query("""
@@ -194,17 +223,31 @@ SELECT flag, round(mid, 4) AS spacing, CASE WHEN n >= 2 AND lines BETWEEN 3 AND
 def line_count_estimate(spark, sf):
     """How many text columns a profile shows: peaks, their usual spacing, and how often it
     fits between the first and the last peak of that spacing."""
-    size = daily(spark, sf).groupBy("flag").agg(F.greatest(F.count(F.lit(1)) * 0.03, F.lit(10.0)).alias("bin"))
-    w = sq.spacings(sq.spaced(peaks_of(spark, sf), ["flag"], "pos", 20), ["flag"], "pos").join(size, "flag")
-    most = F.max("width").over(Window.partitionBy("flag"))
-    w = w.withColumn("bins", F.greatest(F.floor(most / F.col("bin")) + 1, F.lit(3))).withColumn("step", (most + F.col("bin")) / F.col("bins"))
-    w = w.withColumn("k", F.least(F.floor(F.col("width") / F.col("step")), F.col("bins") - 1))
-    best = ag.histogram_peak(w, ["flag"], "k").select("flag", "bin")
-    w = w.drop("bin").join(best, "flag").withColumn("center", (F.col("bin") + 0.5) * F.col("step"))
-    ok = w.where(F.col("width").between(F.col("center") * 0.6, F.col("center") * 1.4))
-    est = ok.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.median("width").alias("mid"), (F.max("right_x") - F.min("left_x")).alias("content"))
-    lines = fn.round_half_even(F.col("content") / F.col("mid")).cast("int")
-    return est.select("flag", F.round("mid", 4).alias("spacing"), F.when((F.col("n") >= 2) & lines.between(3, 15), lines).alias("lines"))
+    sizes = daily(spark, sf).groupBy("flag").agg(F.count(F.lit(1)).alias("size"))
+    got = sq.usual_spacing(sq.spaced(peaks_of(spark, sf), ["flag"], "pos", 20), sizes, ["flag"], "pos", "size")
+    return got.select("flag", F.round("spacing", 4).alias("spacing"), "lines")
+
+
+@query(f"""
+WITH RECURSIVE {DAILY}, m AS (SELECT flag, pos, n, avg(n) OVER (PARTITION BY flag) AS mean, (max(pos) OVER (PARTITION BY flag) + 1)::INT AS size,
+  min(n) OVER (PARTITION BY flag ORDER BY pos ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS low FROM (SELECT flag, pos, (n - 1) * (pos % 23) AS n FROM series)),
+v AS (SELECT flag, pos, row_number() OVER (PARTITION BY flag ORDER BY pos) AS k FROM m WHERE pos BETWEEN 6 AND size - 7 AND n = low AND n < mean * 0.35),
+walk AS (SELECT flag, k, pos AS kept FROM v WHERE k = 1
+  UNION ALL SELECT v.flag, v.k, CASE WHEN v.pos - w.kept >= 20 THEN v.pos ELSE w.kept END FROM walk w JOIN v ON v.flag = w.flag AND v.k = w.k + 1),
+cut_at AS (SELECT DISTINCT flag, kept AS c FROM walk),
+ends AS (SELECT flag, c FROM cut_at UNION ALL SELECT DISTINCT flag, size FROM m),
+o AS (SELECT flag, c::INT AS c, row_number() OVER (PARTITION BY flag ORDER BY c) AS k FROM ends),
+fold AS (SELECT flag, k, CASE WHEN c >= 10 THEN [0, c] ELSE [0] END AS cuts FROM o WHERE k = 1
+  UNION ALL SELECT o.flag, o.k, CASE WHEN o.c - f.cuts[-1] >= 10 THEN list_append(f.cuts, o.c) WHEN len(f.cuts) > 1 THEN list_append(f.cuts[:-2], o.c) ELSE f.cuts END
+  FROM fold f JOIN o ON o.flag = f.flag AND o.k = f.k + 1),
+last AS (SELECT flag, cuts FROM fold QUALIFY row_number() OVER (PARTITION BY flag ORDER BY k DESC) = 1),
+x AS (SELECT flag, cuts, unnest(range(1, len(cuts))) AS i FROM last)
+SELECT flag, cuts[i]::INT AS cut_start, cuts[i + 1]::INT AS cut_end FROM x
+""")
+def valley_split(spark, sf):
+    """A long stretch cut where its profile, made hilly here, has clear valleys."""
+    d = daily(spark, sf).select("flag", "pos", ((F.col("n") - 1) * (F.col("pos") % 23)).alias("n"))
+    return sq.valley_cuts(d, ["flag"], "pos", "n", 40.0)
 
 
 @query(f"""
@@ -249,16 +292,14 @@ def window_mark(spark, sf):
 
 
 @query(f"""
-WITH {EVENTS}, b AS (SELECT user_id, min(s) AS t0, least(count(*), 20) AS n, min(CASE WHEN value > 50 THEN s END) AS c0 FROM e GROUP BY user_id),
-f AS (SELECT user_id, least(greatest(trunc((c0 - t0) / 100000.0), 0), 20 - n)::BIGINT AS first FROM b WHERE c0 IS NOT NULL)
-SELECT e.user_id, e.event_id, (f.first + e.pos)::BIGINT AS slot FROM e JOIN f USING (user_id) WHERE e.pos < 20
+WITH {EVENTS}, n AS (SELECT user_id, least(count(*), 20) AS n, min(CASE WHEN pos = 0 THEN floor((s % 1000000) / 50000.0) END) AS first FROM e GROUP BY user_id)
+SELECT e.user_id, e.event_id, (greatest(0, least(20 - n, first)) + e.pos)::BIGINT AS slot FROM e JOIN n USING (user_id) WHERE e.pos < 20
 """)
 def slot_assign(spark, sf):
-    """The first 20 items of a key take consecutive slots from a clamped first one on."""
+    """The first 20 items of a key (all that it has slots for) take consecutive slots, from the
+    one on that the first item's place falls into."""
     e = user_events(spark, sf)
-    b = e.groupBy("user_id").agg(F.min("s").alias("t0"), F.least(F.count(F.lit(1)), F.lit(20)).alias("n"), F.min(F.when(F.col("value") > 50, F.col("s"))).alias("c0")).where("c0 is not null")
-    first = F.least(F.greatest(((F.col("c0") - F.col("t0")) / 100000).cast("long"), F.lit(0)), 20 - F.col("n"))
-    return e.where("pos < 20").join(b.select("user_id", first.alias("first")), "user_id").select("user_id", "event_id", (F.col("first") + F.col("pos")).alias("slot"))
+    return sq.consecutive_slots(e, ["user_id"], "pos", F.col("s") % 1_000_000, F.lit(0), F.lit(50_000), F.lit(20)).select("user_id", "event_id", F.col("slot").cast("long").alias("slot"))
 
 
 @query("""
@@ -282,15 +323,66 @@ def boundaries_to_columns(spark, sf):
 
 
 @query(f"""
-WITH {EVENTS}, b AS (SELECT user_id, pos, s AS top, s + 4000 AS bottom, event_type = 'click' AS m FROM e WHERE pos < 50),
-n AS (SELECT *, lead(top) OVER w AS nt, lag(bottom) OVER w AS pb, lag(m) OVER w AS pm FROM b WINDOW w AS (PARTITION BY user_id ORDER BY pos))
-SELECT user_id, pos, CASE WHEN m AND NOT pm AND pb > top THEN pb ELSE top END AS top, CASE WHEN m AND nt < bottom THEN nt ELSE bottom END AS bottom FROM n
+WITH {EVENTS}, b AS (SELECT user_id, pos, s AS top, s + 40000 AS bottom, event_type = 'click' AS m FROM e),
+n AS (SELECT *, lead(top) OVER w AS next_top, lead(m) OVER w AS next_m, lag(bottom) OVER w AS last_bottom FROM b WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+r AS (SELECT user_id, pos, CASE WHEN m AND last_bottom > top THEN last_bottom ELSE top END AS top, CASE WHEN m AND NOT next_m AND next_top < bottom THEN next_top ELSE bottom END AS bottom FROM n)
+SELECT user_id, pos, top, greatest(top, bottom) AS bottom FROM r
 """)
 def overlap_resolve(spark, sf):
-    b = user_events(spark, sf).where("pos < 50").select("user_id", "pos", F.col("s").alias("top"), (F.col("s") + 4000).alias("bottom"), (F.col("event_type") == "click").alias("m"))
+    """Intervals of users in order; clicks give way to others, and the later of two clicks."""
+    b = user_events(spark, sf).select("user_id", "pos", F.col("s").alias("top"), (F.col("s") + 40000).alias("bottom"), (F.col("event_type") == "click").alias("m"))
     return sq.resolve_overlaps(b, ["user_id"], "pos", "top", "bottom", F.col("m")).drop("m")
 
 
+MARKED = f"""{EVENTS}, w AS (SELECT user_id, pos, count(*) OVER (PARTITION BY user_id) AS n, avg(value) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS mean FROM e),
+k AS (SELECT *, CASE WHEN pos <= n - least(5, n) AND mean > 60 THEN 1 ELSE 0 END AS ok FROM w),
+marked AS (SELECT user_id, pos, max(ok) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) = 1 AS m FROM k),
+i AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS island FROM marked WHERE m),
+dbl AS (SELECT user_id, min(pos)::INT AS first, max(pos)::INT AS last FROM i GROUP BY user_id, island HAVING count(*) >= 2)"""
+
+
+def double_rows_of(spark, sf):
+    ahead = Window.partitionBy("user_id").orderBy("pos").rowsBetween(0, 4)
+    e = user_events(spark, sf).withColumn("ok", F.avg("value").over(ahead) > 60)
+    return e, il.double_rows(e, ["user_id"])
+
+
+@query(f"WITH {MARKED} SELECT * FROM dbl")
+def double_rows(spark, sf):
+    """Runs of items that lie in some window of five with a high mean."""
+    return double_rows_of(spark, sf)[1]
+
+
+@query(f"""
+WITH {MARKED}, h AS (SELECT e.user_id, e.pos, coalesce(max(d.first), -1) AS row FROM e LEFT JOIN dbl d ON d.user_id = e.user_id AND e.pos BETWEEN d.first AND d.last GROUP BY 1, 2),
+o AS (SELECT *, CASE WHEN lag(row) OVER w IS DISTINCT FROM row THEN 1 ELSE 0 END AS opened FROM h WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+g AS (SELECT *, sum(opened) OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) - 1 AS seg FROM o)
+SELECT user_id, seg::BIGINT AS seg, CASE WHEN any_value(row) < 0 THEN 'normal' ELSE 'double' END AS kind, min(pos)::INT AS first, max(pos)::INT AS last FROM g GROUP BY user_id, seg
+""")
+def alternating_segments(spark, sf):
+    """A key's items as normal and marked stretches in turn."""
+    e, rows = double_rows_of(spark, sf)
+    return il.alternating(e, rows, ["user_id"])
+
+
+@query(f"""
+WITH {EVENTS}, r AS (SELECT user_id, pos, s / 1000.0 AS r_top, s / 1000.0 + 60 + event_id % 90 AS r_bottom FROM e),
+g AS (SELECT *, (lead(r_top) OVER w + lead(r_bottom) OVER w) / 2 - (r_top + r_bottom) / 2 AS gap, r_bottom - lead(r_top) OVER w AS over FROM r WINDOW w AS (PARTITION BY user_id ORDER BY r_top, r_bottom)),
+h AS (SELECT user_id, median(CASE WHEN gap > 40 AND gap < 200 THEN gap END) AS m, coalesce(bool_or(over > 30), false) AS "overlaps" FROM g GROUP BY user_id)
+SELECT user_id, round(CASE WHEN m IS NULL THEN 100 ELSE greatest(least(m, 130), 70) END, 4) AS char_height, "overlaps" FROM h
+""")
+def char_height(spark, sf):
+    r = user_events(spark, sf).select("user_id", (F.col("s") / 1000).alias("r_top"), (F.col("s") / 1000 + 60 + F.col("event_id") % 90).alias("r_bottom"))
+    return gr.usual_height(r, ["user_id"], F.lit(100.0)).select("user_id", F.round("char_height", 4).alias("char_height"), "overlaps")
+
+
+@query("SELECT c_nationkey, coalesce(avg(c_acctbal) FILTER (c_acctbal > 9000), 0) AS char_height FROM customer GROUP BY 1")
+def mean_char_height(spark, sf):
+    """The mean over the columns of a page that have a height, 0 where none has."""
+    c = t(spark, sf, "customer").select("c_nationkey", F.when(F.col("c_acctbal") > 9000, F.col("c_acctbal")).alias("char_height"))
+    return gr.mean_height(c, ["c_nationkey"])
+
+
 @query("""
 WITH d AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2),
 b AS (SELECT user_id, min(day) AS a, max(day) AS z FROM d GROUP BY 1),
@@ -331,7 +423,7 @@ SELECT k, a, b, dist FROM p WHERE dist < 500 QUALIFY row_number() OVER (PARTITIO
 def nearest_tolerance(spark, sf):
     c = t(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("a"), F.col("c_acctbal").alias("x"))
     s = t(spark, sf, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("b"), F.col("s_acctbal").alias("y"))
-    return jn.nearest_within(c, s, ["k"], "a", "x", "b", "y", F.lit(500.0))
+    return jn.nearest_within(c, s, ["k"], "a", "x", "b", "y", 500.0)
 
 
 @query("""
@@ -340,9 +432,36 @@ SELECT p_partkey, p_brand FROM part a WHERE EXISTS (SELECT 1 FROM part b WHERE b
 """)
 def companion_exists(spark, sf):
     a = t(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
-    b = t(spark, sf, "part").where("p_size >= 10").select(F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
-    gap = F.col("price") - F.col("p_retailprice")
-    return a.join(b, (F.col("brand") == F.col("p_brand")) & (gap > 5) & (gap <= 40), "left_semi").select("p_partkey", "p_brand")
+    b = t(spark, sf, "part").where("p_size >= 10").select("p_brand", F.col("p_retailprice").alias("price"))
+    return jn.exists_between(a, b, ["p_brand"], "p_retailprice", "price", 5.0, 40.0).select("p_partkey", "p_brand")
+
+
+LINES = """line AS (SELECT p_partkey // 40 AS page, p_partkey AS id, (p_partkey * 613) % 1000 AS x, p_size * 20.0 AS length FROM part)"""
+
+
+@query(f"""
+WITH {LINES}, c AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY x, id) AS k FROM line WHERE length >= 300),
+med AS (SELECT page, median(length) * 0.5 AS least, count(*) AS many FROM c GROUP BY page),
+p AS (SELECT a.page, a.k AS ka, b.k AS kb, a.x AS ax, b.x AS bx, a.id AS ia, b.id AS ib, a.length AS la, b.length AS lb, (b.x - a.x) / 3.0 AS sp
+  FROM c a JOIN c b ON a.page = b.page AND b.k >= a.k + 3 AND b.x - a.x >= 300),
+q AS (SELECT p.*, m.k AS k1, m.id AS i1, m.length AS l1, abs(m.x - (ax + sp)) AS d1 FROM p JOIN c m ON m.page = p.page AND m.k > ka AND m.k < kb
+  QUALIFY row_number() OVER (PARTITION BY p.page, ka, kb ORDER BY abs(m.x - (ax + sp)), m.k) = 1),
+r AS (SELECT q.*, m.id AS i2, m.length AS l2, abs(m.x - (ax + 2 * sp)) AS d2 FROM q JOIN c m ON m.page = q.page AND m.k > k1 AND m.k < kb WHERE d1 <= 0.3 * sp
+  QUALIFY row_number() OVER (PARTITION BY q.page, ka, kb ORDER BY abs(m.x - (ax + 2 * sp)), m.k) = 1),
+f AS (SELECT r.*, least, [la, l1, l2, lb] AS ls, least(80, sp * 0.5) AS reach FROM r JOIN med USING (page) WHERE d2 <= 0.3 * sp),
+s AS (SELECT page, ka, kb, [ia, i1, i2, ib] AS ids, sp, (d1 + d2) / (3 * sp) + list_stddev_pop(ls) / list_median(ls)
+  - CASE WHEN EXISTS (SELECT 1 FROM line l WHERE l.page = f.page AND l.length >= least AND ax - l.x > 5 AND ax - l.x <= reach) THEN 0.15 ELSE 0 END
+  - CASE WHEN EXISTS (SELECT 1 FROM line l WHERE l.page = f.page AND l.length >= least AND l.x - bx > 5 AND l.x - bx <= reach) THEN 0.15 ELSE 0 END
+  + CASE WHEN ax < 150 THEN 0.3 * (1 - ax / 150.0) ELSE 0 END + CASE WHEN 1000 - bx < 150 THEN 0.3 * (1 - (1000 - bx) / 150.0) ELSE 0 END AS score FROM f)
+SELECT page, array_to_string(ids, ',') AS ids, round(sp, 4) AS spacing, round(score, 6) AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY page ORDER BY round(score, 9), ka, kb) = 1
+""")
+def equidistant_pairs(spark, sf):
+    """The four of a page's lines that part it best into three columns."""
+    p = t(spark, sf, "part").select(F.expr("p_partkey div 40").alias("page"), F.col("p_partkey").alias("id"), ((F.col("p_partkey") * 613) % 1000).cast("double").alias("x"), (F.col("p_size") * 20.0).alias("length"))
+    pages = p.select("page").distinct().select("page", F.lit(1000).alias("page_width"), F.lit(1000).alias("page_height"))
+    got = eq.equidistant(p, pages, ["page"], 3)
+    return got.select("page", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"), F.round("spacing", 4).alias("spacing"), F.round("score", 6).alias("score"))
 
 
 @query("""
@@ -377,7 +496,7 @@ SELECT p_brand, band, band_2, score, round(center, 4) AS center FROM p QUALIFY r
 def band_pairs(spark, sf):
     p = sq.place(t(spark, sf, "part"), ["p_brand"], ["p_retailprice", "p_partkey"])
     b = p.select("p_brand", (F.col("pos") + 1).cast("long").alias("band"), F.col("p_retailprice").alias("b_start"), (F.col("p_retailprice") + F.col("p_size") / 10).alias("b_end"), F.col("p_size").alias("depth"))
-    return jn.band_pairs(b, ["p_brand"], F.lit(10), F.lit(60)).withColumn("center", F.round("center", 4))
+    return jn.band_pairs(b, ["p_brand"], 10.0, 60.0).withColumn("center", F.round("center", 4))
 
 
 @query("""
@@ -442,9 +561,12 @@ def cv_uniform(spark, sf):
 
 @query("SELECT l_returnflag, median(l_quantity) AS mid, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, count(*) FILTER (l_discount > 0.05) AS discounted FROM lineitem GROUP BY 1")
 def median_p90(spark, sf):
-    return t(spark, sf, "lineitem").groupBy("l_returnflag").agg(
-        F.median("l_quantity").alias("mid"), F.round(F.percentile("l_extendedprice", 0.9), 4).alias("p90"), F.count_if(F.col("l_discount") > 0.05).alias("discounted")
-    )
+    """Exact percentiles of a few groups of many rows, by bins."""
+    lines = t(spark, sf, "lineitem")
+    some = lines.groupBy("l_returnflag").agg(F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
+    mid = ag.exact_percentiles(lines, ["l_returnflag"], "l_quantity", [0.5]).withColumnRenamed("p0", "mid")
+    high = ag.exact_percentiles(lines, ["l_returnflag"], "l_extendedprice", [0.9])
+    return some.join(mid, "l_returnflag").join(high, "l_returnflag").select("l_returnflag", "mid", F.round("p0", 4).alias("p90"), "discounted")
 
 
 @query("""
@@ -476,7 +598,7 @@ SELECT o_orderkey, round(o_totalprice / mid, 6) AS scale FROM orders JOIN m USIN
 """)
 def corpus_median_scale(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    m = o.groupBy("o_orderstatus").agg(F.median("o_totalprice").alias("mid"))
+    m = ag.exact_percentiles(o, ["o_orderstatus"], "o_totalprice", [0.5]).withColumnRenamed("p0", "mid")
     return o.join(m, "o_orderstatus").select("o_orderkey", F.round(F.col("o_totalprice") / F.col("mid"), 6).alias("scale"))
 
 
@@ -503,20 +625,29 @@ def conf_filter_mean(spark, sf):
 
 
 @query(f"""
-SELECT doc_id, translate('管三草青' || substr(text, 1, 8), '{fn.CONFUSED}', '{fn.RIGHT}') AS corrected, regexp_replace(lower(text), '[^à-ÿ]', '', 'g') AS accents FROM documents
+SELECT doc_id, translate('管三草青' || text, '{fn.CONFUSED}', '{fn.RIGHT}') AS corrected, regexp_replace(lower(text), '[^à-ÿ]', '', 'g') AS accents FROM documents
 """)
 def char_correct(spark, sf):
     d = t(spark, sf, "documents")
-    return d.select("doc_id", fn.correct_characters(F.concat(F.lit("管三草青"), F.substring("text", 1, 8))).alias("corrected"), fn.only(F.lower("text"), "à-ÿ").alias("accents"))
+    return d.select("doc_id", fn.correct_characters(F.concat(F.lit("管三草青"), "text")).alias("corrected"), fn.only(F.lower("text"), "à-ÿ").alias("accents"))
 
 
 @query(f"""
-SELECT l_orderkey, l_linenumber, regexp_replace('一初木x', CASE l_linenumber - 1 WHEN 0 THEN '[^{fn.YEAR}]' WHEN 1 THEN '[^{fn.WEEKDAY}]' ELSE '[^{fn.ASTRO}]' END, '', 'g') AS kept FROM lineitem
+WITH r AS (SELECT doc_id, doc_id % 3 AS row, text || '一初木日宫x二百' || source AS line FROM documents),
+k AS (SELECT doc_id, line, regexp_replace(line, CASE row WHEN 0 THEN '[^{fn.YEAR}]' WHEN 1 THEN '[^{fn.WEEKDAY}]' ELSE '[^{fn.ASTRO}]' END, '', 'g') AS kept FROM r)
+SELECT doc_id, kept, length(line) - length(kept) AS removed FROM k
 """)
 def charset_filter(spark, sf):
-    row = F.col("l_linenumber") - 1
-    kept = F.regexp_replace(F.lit("一初木x"), F.concat(F.lit("[^"), fn.charset_of_row(row), F.lit("]")), F.lit(""))
-    return t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", kept.alias("kept"))
+    """Whole texts with some letters of each kind of row put in, filtered as rows of their kind."""
+    d = t(spark, sf, "documents").select("doc_id", F.concat("text", F.lit("一初木日宫x二百"), "source").alias("line"))
+    kept = F.regexp_replace("line", F.concat(F.lit("[^"), fn.charset_of_row(F.col("doc_id") % 3), F.lit("]")), F.lit(""))
+    return d.select("doc_id", kept.alias("kept"), F.length("line").alias("n")).select("doc_id", "kept", (F.col("n") - F.length("kept")).cast("long").alias("removed"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN (turn + 1)::VARCHAR ELSE (turn + 1) || '.' || turn % 3 END AS label FROM conversations")
+def cell_labels(spark, sf):
+    sub = F.when(F.col("turn") % 3 > 0, F.col("turn") % 3)
+    return t(spark, sf, "conversations").select("conv_id", "turn", fn.cell_label(F.col("turn"), sub).alias("label"))
 
 
 @query("""
@@ -588,21 +719,109 @@ def interleave(spark, sf):
     c = t(spark, sf, "conversations").where("role in ('user', 'assistant')")
     c = c.withColumn("i", F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")).cast("long"))
     c = c.withColumn("side", F.when(F.col("role") == "user", 1).otherwise(2))
-    pos = F.row_number().over(Window.partitionBy("conv_id").orderBy("i", "side")).cast("long")
-    return c.select("conv_id", "i", "side", "turn", pos.alias("pos"))
+    return il.interleaved(c, ["conv_id"], "side", "i").select("conv_id", "i", "side", "turn", F.col("place").alias("pos"))
+
+
+UPRIGHT = """line AS (SELECT p_brand, p_partkey::INT AS id, (p_partkey * 37) % 1000 + 100.5 AS x, p_size / 1000.0 AS slope, p_size AS n FROM part)"""
+
+
+def upright_lines(spark, sf):
+    """Parts as the upright lines of a page each brand: ``p_brand``, as clusters have it."""
+    n = F.col("p_size")
+    return t(spark, sf, "part").select(
+        "p_brand", F.lit("v").alias("axis"), F.col("p_partkey").cast("int").alias("cluster_id"), ((F.col("p_partkey") * 37) % 1000 + 100.5).alias("intercept"),
+        (n / 1000).alias("slope"), F.array(F.struct(F.lit(0.0).alias("s"), (n * 20.0).alias("e"))).alias("segments"), (n * 20.0).alias("total_length"), n.cast("double").alias("avg_width"), n.alias("line_count"),
+    )
+
+
+def brand_pages(spark, sf):
+    return t(spark, sf, "part").select("p_brand").distinct().select("p_brand", F.lit(1200).alias("page_width"), F.lit(1000).alias("page_height"))
+
+
+FRAME = f"""{UPRIGHT}, c AS (SELECT *, x AS depth, 'left' AS side FROM line WHERE n >= 5 UNION ALL SELECT *, -x, 'right' FROM line WHERE n >= 5),
+r AS (SELECT *, row_number() OVER w AS k, first(x) OVER w AS x0, first(slope) OVER w AS s0, first(id) OVER w AS o FROM c WINDOW w AS (PARTITION BY p_brand, side ORDER BY depth, id)),
+pair AS (SELECT p_brand, side, any_value(o) AS outer_id, min_by(id, k) FILTER (k > 1 AND abs(x - x0) <= 80 AND abs(slope - s0) <= 0.02) AS inner_id FROM r GROUP BY p_brand, side)"""
+
+
+@query(f"WITH {FRAME} SELECT * FROM pair")
+def outer_pair(spark, sf):
+    """The outer and the inner border at the left and right of every page."""
+    got = layout.frame_pairs(upright_lines(spark, sf), brand_pages(spark, sf), ["p_brand"])
+    return got.select("p_brand", "side", F.col("outer.cluster_id").alias("outer_id"), F.col("inner.cluster_id").alias("inner_id"))
+
+
+COLUMNS = """cut AS (SELECT s_nationkey AS page, s_acctbal AS x, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS k FROM supplier),
+col AS (SELECT page, x AS left_x, lead(x) OVER (PARTITION BY page ORDER BY k) AS right_x FROM cut), wide AS (SELECT *, right_x - left_x AS width FROM col WHERE right_x IS NOT NULL)"""
+
+
+def supplier_columns(spark, sf):
+    s = t(spark, sf, "supplier").select(F.col("s_nationkey").alias("page"), F.col("s_acctbal").alias("left_x"), "s_suppkey")
+    nxt = F.lead("left_x").over(Window.partitionBy("page").orderBy("left_x", "s_suppkey"))
+    return s.withColumn("right_x", nxt).where("right_x is not null").withColumn("width", F.col("right_x") - F.col("left_x")).drop("s_suppkey")
+
+
+@query(f"""
+WITH {COLUMNS}, u AS (SELECT *, count(*) OVER p AS many, coalesce(stddev_pop(width) OVER p / nullif(avg(width) OVER p, 0), 0) AS cv, (max(right_x) OVER p - min(left_x) OVER p) / 60.0 AS usual FROM wide WINDOW p AS (PARTITION BY page)),
+n AS (SELECT *, CASE WHEN many < 60 AND cv >= 0.15 AND width > 1.5 * usual THEN round_even(width / usual, 0)::INT ELSE 1 END AS pieces FROM u),
+x AS (SELECT *, unnest(range(0, pieces)) AS k FROM n)
+SELECT page, row_number() OVER (PARTITION BY page ORDER BY left_x + k * (width / pieces) DESC, CASE WHEN pieces > 1 THEN left_x + k * (width / pieces) + width / pieces ELSE right_x END DESC)::INT AS idx,
+  round(left_x + k * (width / pieces), 4) AS left_x, round(width / pieces, 4) AS width FROM x
+""")
+def columns_corrected(spark, sf):
+    """Pages with fewer than sixty columns: too wide ones cut into as many as they hold."""
+    got = layout.corrected(supplier_columns(spark, sf), ["page"], F.lit(60))
+    return got.select("page", "idx", F.round("left_x", 4).alias("left_x"), F.round("width", 4).alias("width"))
+
+
+@query(f"""
+WITH {FRAME}, {COLUMNS.replace("s_nationkey AS page", "(s_nationkey + 1)::VARCHAR AS page")},
+usual AS (SELECT p_brand, 20.0 + n AS mean, n % 2 * 0.2 AS cv FROM (SELECT p_brand, count(*) % 7 AS n FROM part GROUP BY 1)),
+page AS (SELECT p_brand, 400.0 AS l, 700.0 AS r, mean, cv FROM usual),
+free AS (SELECT line.p_brand, id, x, CASE WHEN x > r + 10 AND x <= 1195 THEN 0 WHEN x < l - 10 AND x >= 5 THEN 1 END AS side, CASE WHEN x > r THEN x - r ELSE l - x END AS width, mean FROM line JOIN page USING (p_brand)
+  WHERE n >= 5 AND NOT EXISTS (SELECT 1 FROM pair WHERE pair.p_brand = line.p_brand AND line.id IN (outer_id, inner_id))),
+best AS (SELECT * FROM free WHERE side IS NOT NULL AND width BETWEEN 0.5 * mean AND 1.5 * mean QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY abs(width - mean), side, id) = 1)
+SELECT p_brand, CASE side WHEN 0 THEN 'right' ELSE 'left' END AS side, x AS "at", 'line' AS origin FROM best
+UNION ALL SELECT p_brand, 'right', 700 + mean, 'width' FROM page WHERE cv < 0.10 AND p_brand NOT IN (SELECT p_brand FROM best)
+""")
+def frame_recovery(spark, sf):
+    """Faint borders of pages framed at 400 and 700 whose columns are too few: a line whose
+    column would be as wide as the others, else the mean width beyond the roomier side."""
+    lines, pages = upright_lines(spark, sf), brand_pages(spark, sf)
+    n = t(spark, sf, "part").groupBy("p_brand").agg((F.count(F.lit(1)) % 7).alias("n"))
+    # two columns of widths mean * (1 - cv) and mean * (1 + cv)
+    mean, cv = 20.0 + F.col("n"), F.col("n") % 2 * 0.2
+    cols = n.select("p_brand", F.explode(F.array(mean * (1 - cv), mean * (1 + cv))).alias("width"))
+    frame = pages.select("p_brand", "page_width", "page_height", F.lit(0.0).alias("top"), F.lit(1000.0).alias("bottom"), F.lit(400.0).alias("left"), F.lit(700.0).alias("right"))
+    pairs = layout.frame_pairs(lines, pages, ["p_brand"])
+    return layout.recovered(lines, frame, cols, pairs, ["p_brand"], F.lit(9)).select("p_brand", "side", "at", "origin")
 
 
 @query("""
-WITH c AS (SELECT p_brand, p_partkey, p_retailprice AS x, p_size AS s FROM part WHERE p_size >= 5),
-r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY x, p_partkey) AS k, first(x) OVER w AS x0, first(s) OVER w AS s0, first(p_partkey) OVER w AS o FROM c WINDOW w AS (PARTITION BY p_brand ORDER BY x, p_partkey))
-SELECT p_brand, any_value(o) AS outer_id, min_by(p_partkey, k) FILTER (k > 1 AND x - x0 <= 80 AND abs(s - s0) <= 10) AS inner_id FROM r GROUP BY p_brand
+SELECT * FROM (VALUES ('a', 15.0, 60.0, 0.3), ('b', 19.5, 90.0, 0.21)) v(book, pos_tol, max_gap, min_coverage)
 """)
-def outer_pair(spark, sf):
-    """The first valid line of a key, and the next one near enough and alike."""
-    w = Window.partitionBy("p_brand").orderBy("p_retailprice", "p_partkey")
-    c = t(spark, sf, "part").where("p_size >= 5").withColumn("k", F.row_number().over(w)).withColumn("o", F.first(F.struct("p_partkey", "p_retailprice", "p_size")).over(w))
-    ok = (F.col("k") > 1) & (F.col("p_retailprice") - F.col("o.p_retailprice") <= 80) & (F.abs(F.col("p_size") - F.col("o.p_size")) <= 10)
-    return c.groupBy("p_brand").agg(F.min("o.p_partkey").alias("outer_id"), F.min_by(F.when(ok, F.col("p_partkey")), F.when(ok, F.col("k"))).alias("inner_id"))
+def wear_tolerances(spark, sf):
+    p = pf.normalise(spark.sql("select * from values ('a', 'light'), ('b', 'heavy') as v(book, border_wear)"))
+    got = layout.tolerances(p)
+    return got.select("book", F.round("pos_tol", 4).alias("pos_tol"), F.round("max_gap", 4).alias("max_gap"), F.round("min_coverage", 4).alias("min_coverage"))
+
+
+@query("SELECT * FROM (VALUES ('a', 'spread', 12, 'red', 'given'), ('b', 'cut_half', 8, 'black', 'stored'), ('c', 'uncut_full', 9, 'black', 'found')) v(book, layout, lines_per_page, border_color, origin)")
+def profile_resolution(spark, sf):
+    """The profile given, else the stored, else the found one; then a patch over it."""
+    of = lambda rows: pf.normalise(spark.sql(f"select * from values {rows} as v(book, layout, lines_per_page)"))
+    found = of("('a', 'cut_half', 7), ('b', 'spread', 7), ('c', 'uncut_full', 9)")
+    best = pf.resolved(of("('a', 'spread', 10)"), of("('a', 'cut_half', 8), ('b', 'cut_half', 8)"), found)
+    patch = spark.sql("select * from values ('a', 12, 'red', 'no such field') as v(book, lines_per_page, border_color, unknown)")
+    return pf.patched(best, patch).join(best.select("book", "origin"), "book").select("book", "layout", "lines_per_page", "border_color", "origin")
+
+
+@query("SELECT * FROM (VALUES ('a', 's6_binarize', 'layout=cut_half, content=regular, color=bw, lines=8'), ('b', 's5_split', 'layout=uncut_full, content=table, color=colored, columns=12, interferences=margin')) v(book, folder, text)")
+def profile_text(spark, sf):
+    """The folder of the last active step, and the profile in words."""
+    rows = ['{"book":"a"}', '{"book":"b","layout":"uncut_full","content_format":"table","lines_per_page":12,"color_mode":"colored","interferences":["white_margin"]}']
+    raw = spark.createDataFrame([(r,) for r in rows], "j string").select(F.from_json("j", f"book string, {pf.READ_SCHEMA}").alias("p")).select("p.*")
+    p = pf.normalise(raw)
+    return pf.final_folder(pf.plan_steps(p)).join(pf.described(p), "book")
 
 
 @query("""
@@ -617,8 +836,6 @@ SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY left_x DESC, ri
 """)
 def narrow_repair(spark, sf):
     """Columns between dividers, without the weaker divider beside a too narrow one."""
-    from ..operators import layout
-
     p = t(spark, sf, "part")
     lines = p.select("p_brand", F.col("p_partkey").cast("int").alias("cluster_id"), F.col("p_retailprice").alias("intercept"), (F.col("p_size") / 50).alias("coverage"))
     frame = p.groupBy("p_brand").agg((F.min("p_retailprice") - 20).alias("left"), (F.max("p_retailprice") + 20).alias("right"))

@@ -78,3 +78,39 @@ def plan_steps(profiles: DataFrame) -> DataFrame:
     skipped = F.array_contains("skip_steps", F.col("step"))
     reason = F.when(skipped, "skipped by profile").when(~needed, "not needed")
     return each.select("book", "number", "step", (needed & ~skipped).alias("active"), F.coalesce(reason, F.lit("")).alias("reason"))
+
+
+def patched(profiles: DataFrame, patches: DataFrame) -> DataFrame:
+    """Profiles with the known fields that ``patches`` (``book`` and some fields) sets; nulls
+    set nothing, unknown fields are passed over."""
+    known = [n for n, _, _ in FIELDS if n in patches.columns]
+    own = patches.select("book", *[F.col(n).alias(f"_{n}") for n in known])
+    return profiles.join(own, "book", "left").select("book", *[F.coalesce(f"_{n}", n).alias(n) if n in known else n for n, _, _ in FIELDS])
+
+
+def resolved(given: DataFrame, stored: DataFrame, found: DataFrame) -> DataFrame:
+    """One profile per book: the one given, else the stored, else the one that an analysis
+    found; ``origin`` says which."""
+    parts = [d.withColumn("_rank", F.lit(k)).withColumn("origin", F.lit(o)) for k, (o, d) in enumerate((("given", given), ("stored", stored), ("found", found)))]
+    every = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    names = [c for c in every.columns if c not in ("book", "_rank")]
+    best = F.min_by(F.struct(*names), "_rank").alias("p")
+    return every.groupBy("book").agg(best).select("book", "p.*")
+
+
+def described(profiles: DataFrame) -> DataFrame:
+    """``book, text``: what a profile says, in one line."""
+    lines = F.when(F.col("content_format").isin("regular", "no_line"), F.concat(F.lit("lines="), F.col("lines_per_page")))
+    lines = lines.when(F.col("content_format") == "table", F.concat(F.lit("columns="), F.col("lines_per_page")))
+    notes = F.when(F.col("content_format").isin("regular", "no_line") & F.col("has_marginal_notes"), "with small notes")
+    harm = F.when(F.size("interferences") > 0, F.concat(F.lit("interferences="), F.array_join("interferences", "+")))
+    name = lambda c, label: F.concat(F.lit(f"{label}="), F.col(c))
+    return profiles.select("book", F.concat_ws(", ", name("layout", "layout"), name("content_format", "content"), name("color_mode", "color"), lines, notes, harm).alias("text"))
+
+
+def final_folder(steps: DataFrame) -> DataFrame:
+    """``book, folder``: where a book's prepared pages are: the folder of its last active step
+    (``plan_steps``), the book's own (``.``) without one."""
+    name = F.concat(F.lit("s"), F.col("number").cast("string"), F.lit("_"), F.col("step"))
+    last = F.max_by(F.when(F.col("active"), name), F.when(F.col("active"), F.col("number")))
+    return steps.groupBy("book").agg(F.coalesce(last, F.lit(".")).alias("folder"))

@@ -44,7 +44,7 @@ def found(spark):
 def test_columns_are_recovered(found):
     segments, pages, truth = found
     got = {}
-    for r in layout.detect(segments, pages, KEYS).collect():
+    for r in layout.detect(segments, pages, KEYS)["columns"].collect():
         got.setdefault(r["page"], []).append((r["idx"], r["left_x"], r["right_x"], r["width"]))
     for page, xs in truth.items():
         cols = sorted(got[page])
@@ -69,7 +69,7 @@ def test_frame_has_two_layers(found):
 
 def test_stats_and_summary(found):
     segments, pages, truth = found
-    stats = {r["page"]: r for r in layout.column_stats(layout.detect(segments, pages, KEYS), KEYS, 9).collect()}
+    stats = {r["page"]: r for r in layout.column_stats(layout.detect(segments, pages, KEYS)["columns"], KEYS, 9).collect()}
     assert all(stats[p]["num_columns"] == len(x) - 1 and stats[p]["is_uniform"] for p, x in truth.items())
     assert stats[2]["mismatch"] is None and stats[1]["mismatch"]["detected"] == 8
     total = {r["page"]: r for r in layout.summary(layout.classify(segments), KEYS).collect()}
