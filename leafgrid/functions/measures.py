@@ -103,6 +103,41 @@ def fold_center(gray: np.ndarray) -> int:
     return min(pairs)[3] if pairs else a + int(middle.argmin())
 
 
+def valley_cuts(v: np.ndarray, height: float, least: int = 10) -> list[tuple[int, int]]:
+    """The pieces of a stretch that holds several characters of ``height``; the same rule as
+    the relational kernel of this name."""
+    n = len(v)
+    half, apart = max(3, int(height * 0.15)), int(height * 0.5)
+    at: list[int] = []
+    if n / height > 1.2:
+        if n > 2 * half:
+            around = np.lib.stride_tricks.sliding_window_view(v, 2 * half + 1).min(axis=1)
+            inner = np.asarray(v[half : n - half])
+            at = spaced(np.flatnonzero((inner == around) & (inner < v.mean() * 0.35)) + half, apart)
+        if not at:
+            many = max(2, round(n / height))
+            at = [k * n // many for k in range(1, many)]
+    cuts = [0]
+    for c in (*at, n):
+        if c - cuts[-1] >= least:
+            cuts.append(c)
+        elif len(cuts) > 1:
+            cuts[-1] = c
+    if cuts[-1] != n:
+        cuts.append(n)
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if b - a >= least] or [(0, n)]
+
+
+def inked_stretches(rows: np.ndarray, height: float, ink: float = 2, least: int = 10, tall: float = 1.4) -> list[tuple[int, int]]:
+    """Runs of rows with more ink than ``ink``, at least ``least`` long; those taller than
+    ``tall`` characters are cut."""
+    out = []
+    for s, e in runs(rows > ink):
+        if e - s >= least:
+            out += [(s + a, s + b) for a, b in valley_cuts(rows[s:e], height, least)] if e - s > tall * height else [(s, e)]
+    return out
+
+
 # --- measures of a page -------------------------------------------------------------
 
 

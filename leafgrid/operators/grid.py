@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import measures as ms
 from . import sequence as sq
 from .interlinear import two_humps
 from .joins import containment_or_nearest
@@ -30,12 +31,17 @@ LEAST_WIDTH = 30
 
 def inked_regions(profile: DataFrame, keys: Keys, char_height: Column, ink: float = 2.0) -> DataFrame:
     """Regions of a column's row profile (``keys, pos, v``): runs with more ink than ``ink``
-    and at least ``LEAST_HEIGHT`` tall; one taller than ``SPLIT`` characters is cut evenly."""
-    runs = sq.runs(profile, keys, "pos", F.col("v") > ink).where(F.col("run_length") >= LEAST_HEIGHT)
-    pieces = F.when(F.col("run_length") > SPLIT * char_height, F.greatest(F.lit(2), F.bround(F.col("run_length") / char_height).cast("int"))).otherwise(F.lit(1))
-    cut = runs.withColumn("n", pieces).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    at = lambda i: F.col("run_start") + F.floor(i * F.col("run_length") / F.col("n"))
-    return cut.select(*keys, at(F.col("i")).cast("double").alias("r_top"), at(F.col("i") + 1).cast("double").alias("r_bottom"))
+    and at least ``LEAST_HEIGHT`` tall; one taller than ``SPLIT`` characters is cut at its
+    valleys, or evenly without one (:func:`leafgrid.operators.sequence.valley_cuts`)."""
+    height = profile.groupBy(*keys).agg(F.first(char_height).alias("_h"))
+    runs = sq.runs(profile, keys, "pos", F.col("v") > ink).where(F.col("run_length") >= LEAST_HEIGHT).join(height, list(keys))
+    tall = runs.where(F.col("run_length") > SPLIT * F.col("_h")).select(*keys, "run_start", "run_end", "_h")
+    rows = profile.select(*keys, F.col("pos").alias("_p"), "v").join(tall, list(keys)).where((F.col("_p") >= F.col("run_start")) & (F.col("_p") < F.col("run_end")))
+    cut = sq.valley_cuts(rows.withColumn("_at", F.col("_p") - F.col("run_start")), [*keys, "run_start"], "_at", "v", F.col("_h"), LEAST_HEIGHT)
+    both = runs.join(cut, [*keys, "run_start"], "left")
+    top = F.col("run_start") + F.coalesce("cut_start", F.lit(0))
+    bottom = F.coalesce(F.col("run_start") + F.col("cut_end"), F.col("run_end"))
+    return both.select(*keys, top.cast("double").alias("r_top"), bottom.cast("double").alias("r_bottom"))
 
 
 def main_group(regions: DataFrame, cols: DataFrame, words: DataFrame, keys: Keys) -> DataFrame:
@@ -125,15 +131,32 @@ def mean_height(columns: DataFrame, page: Keys, height: str = "char_height") ->
     return columns.groupBy(*page).agg(F.coalesce(F.avg(height), F.lit(0.0)).alias("char_height"))
 
 
-def column_profiles(masks: DataFrame, cols: DataFrame, keys: Keys, pad: int = 4) -> DataFrame:
-    """``keys, idx, top, bottom, rows, humps``: ink per row of every column of every page inside
-    its frame, and whether the whole column shows two humps.  ``cols`` has ``keys, idx,
-    left_x, right_x, top, bottom``; columns narrower than ``LEAST_WIDTH`` are left out."""
-    one = F.struct("idx", F.col("left_x").cast("double").alias("left_x"), F.col("right_x").cast("double").alias("right_x"), F.col("top").cast("double").alias("top"), F.col("bottom").cast("double").alias("bottom"))
+def column_regions(masks: DataFrame, cols: DataFrame, keys: Keys, pad: int = 4) -> DataFrame:
+    """``keys, idx, regions, double_row, split_x``: of every column of every page its inked
+    stretches inside the frame (``array<struct<r_top, r_bottom>>``), whether the whole of it
+    shows two humps, and where those part.  ``masks`` are :func:`pages.ink_masks`; ``cols`` has
+    ``keys, idx, left_x, right_x, top, bottom, expected``.  Columns narrower than
+    ``LEAST_WIDTH`` have none."""
+    number = lambda c: F.col(c).cast("double").alias(c)
+    one = F.struct("idx", *[number(c) for c in ("left_x", "right_x", "top", "bottom", "expected")])
     page = cols.where(F.col("right_x") - F.col("left_x") >= LEAST_WIDTH).groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("cols"))
     both = masks.join(page, list(keys))
     types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "idx int, top double, bottom double, rows array<int>, humps boolean"])
+    names = [*keys, "idx", "regions", "double_row", "split_x"]
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "idx int, regions array<struct<r_top:double,r_bottom:double>>, double_row boolean, split_x int"])
+
+    def column(mask: np.ndarray, c: dict) -> dict:
+        a, b = max(int(c["left_x"]) + pad, 0), max(int(c["right_x"]) - pad, 0)
+        t, e = max(int(c["top"]), 0), max(int(c["bottom"]), 0)
+        own = mask[t:e, a:b]
+        if own.size == 0:
+            return {"idx": c["idx"], "regions": [], "double_row": False, "split_x": None}
+        edge = max(4, int(own.shape[1] * 0.05))
+        across = own.sum(axis=0)
+        dual = two_humps(across[edge : len(across) - edge], own.shape[0])
+        found = ms.inked_stretches(own.sum(axis=1), max((c["bottom"] - c["top"]) / c["expected"], 1.0), 2, LEAST_HEIGHT, SPLIT)
+        m, n = int(len(across) // 2 * 0.7), max(int(len(across) // 2 * 1.3), 1)
+        return {"idx": c["idx"], "regions": [{"r_top": float(t + s), "r_bottom": float(t + f)} for s, f in found], "double_row": dual, "split_x": a + m + int(across[m:n].argmin()) if dual else None}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -141,14 +164,9 @@ def column_profiles(masks: DataFrame, cols: DataFrame, keys: Keys, pad: int = 4)
             for row in frame.to_dict("records"):
                 h, w = row["height"], row["width"]
                 mask = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8))[: h * w].reshape(h, w)
-                for c in row["cols"]:
-                    a, b = max(int(c["left_x"]) + pad, 0), min(int(c["right_x"]) - pad, w)
-                    t, e = max(int(c["top"]), 0), min(int(c["bottom"]), h)
-                    own = mask[t:e, a:b]
-                    edge = max(4, int(own.shape[1] * 0.05))
-                    dual = two_humps(own[:, edge : own.shape[1] - edge].sum(axis=0), own.shape[0]) if own.size else False
-                    out.append({k: row[k] for k in keys} | {"idx": c["idx"], "top": float(t), "bottom": float(e), "rows": own.sum(axis=1).tolist(), "humps": bool(dual)})
-            yield pd.DataFrame(out, columns=[*keys, "idx", "top", "bottom", "rows", "humps"])
+                out += [{k: row[k] for k in keys} | column(mask, c) for c in row["cols"]]
+            made = pd.DataFrame(out, columns=names)
+            yield made.astype({"split_x": "Int32"})
 
     return both.mapInPandas(run, schema)
 

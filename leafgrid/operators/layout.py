@@ -7,7 +7,7 @@ is expressions, windows and joins on the page's keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -300,21 +300,25 @@ def sane_frame(frame: DataFrame, clusters: DataFrame, keys: Keys) -> DataFrame:
     return both.withColumn("top", F.coalesce("_t", "top")).withColumn("bottom", F.coalesce("_b", "bottom")).drop("_t", "_b")
 
 
-def detect(segments: DataFrame, pages: DataFrame, keys: Keys, expected: Column | None = None) -> dict[str, DataFrame]:
+def detect(segments: DataFrame, pages: DataFrame, keys: Keys, expected: Column | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """``clusters, pairs, frame, dividers, columns`` of every page from its segments; with
     ``expected`` columns (an expression over ``pages``), faint borders are sought and wide
-    columns cut."""
-    clusters = cluster(classify(segments), keys)
-    pairs = frame_pairs(clusters, pages, keys)
-    frame = sane_frame(inner_frame(pairs, pages, keys), clusters, keys)
-    parts = dividers(clusters, pairs, frame, keys)
-    cols = columns(parts, frame, keys)
+    columns cut.
+
+    Each table is used by several that follow; ``keep`` says how it is kept between (a
+    checkpoint), without which the plan grows with every use.
+    """
+    clusters = keep(cluster(classify(segments), keys))
+    pairs = keep(frame_pairs(clusters, pages, keys))
+    frame = keep(sane_frame(inner_frame(pairs, pages, keys), clusters, keys))
+    parts = keep(dividers(clusters, pairs, frame, keys))
+    cols = keep(columns(parts, frame, keys))
     if expected is not None:
-        want = pages.select(*keys, expected.alias("_want"))
-        found = recovered(clusters, frame.join(want.withColumnRenamed("_want", "expected"), list(keys)), cols, pairs, keys, F.col("expected"))
-        parts, frame = with_recovered(parts, frame, found, keys)
-        cols = columns(parts, frame, keys)
-        cols = corrected(cols.join(want, list(keys)), keys, F.col("_want"))
+        want = keep(pages.select(*keys, expected.alias("_want")))
+        found = keep(recovered(clusters, frame.join(want.withColumnRenamed("_want", "expected"), list(keys)), cols, pairs, keys, F.col("expected")))
+        parts, frame = (keep(df) for df in with_recovered(parts, frame, found, keys))
+        cols = keep(columns(parts, frame, keys))
+        cols = keep(corrected(cols.join(want, list(keys)), keys, F.col("_want")))
     return {"clusters": clusters, "pairs": pairs, "frame": frame, "dividers": parts, "columns": cols}
 
 

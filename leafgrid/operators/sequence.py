@@ -160,31 +160,35 @@ def usual_spacing(peaks: DataFrame, sizes: DataFrame, keys: Keys, pos: str, size
     return est.select(*keys, "spacing", F.when((F.col("n") >= 2) & lines.between(3, 15), lines).alias("lines"))
 
 
-def valley_cuts(v: DataFrame, keys: Keys, pos: str, value: str, height: float, least: int = 10) -> DataFrame:
+def valley_cuts(v: DataFrame, keys: Keys, pos: str, value: str, height: float | Column, least: int = 10) -> DataFrame:
     """Where a stretch of rows (``keys, pos, value``, from 0) that holds several characters of
     ``height`` is cut: ``keys, cut_start, cut_end``.
 
     Cuts are at clear valleys (least of 15 % of a character on each side, below 0.35 of the
     mean) half a character apart; without one, even.  Pieces below ``least`` join the one
-    before; a stretch of up to 1.2 characters stays whole.
+    before; a stretch of up to 1.2 characters stays whole.  A stretch, some thousand rows at
+    most, is one array.
     """
-    w = Window.partitionBy(*keys)
-    half, apart = max(3, int(height * 0.15)), int(height * 0.5)
-    around = F.min(value).over(Window.partitionBy(*keys).orderBy(pos).rowsBetween(-half, half))
-    n = (F.max(pos).over(w) + 1).cast("int")
-    marked = v.withColumn("_n", n).withColumn("_mean", F.avg(value).over(w)).withColumn("_low", around)
-    valley = F.col(pos).between(half, F.col("_n") - half - 1) & (F.col(value) == F.col("_low")) & (F.col(value) < F.col("_mean") * 0.35)
-    held = marked.groupBy(*keys).agg(F.first("_n").alias("n"), F.sort_array(F.collect_list(F.when(valley, F.col(pos).cast("int")))).alias("at"))
+    h = (height if isinstance(height, Column) else F.lit(float(height))).cast("double")
+    item = F.struct(F.col(pos).alias("p"), F.col(value).cast("double").alias("v"))
+    held = v.groupBy(*keys).agg(F.first(h).alias("h"), F.sort_array(F.collect_list(item)).alias("a"))
+    held = held.withColumn("a", F.transform("a", lambda x: x["v"])).withColumn("n", F.size("a"))
+    held = held.withColumn("half", F.greatest(F.lit(3), (F.col("h") * 0.15).cast("int"))).withColumn("apart", (F.col("h") * 0.5).cast("int"))
+    low = F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x) / F.col("n") * 0.35
+    held = held.withColumn("low", low)
+    inner = F.when(F.col("n") > 2 * F.col("half"), F.sequence(F.col("half"), F.col("n") - F.col("half") - 1)).otherwise(F.array().cast("array<int>"))
+    here = lambda y: F.get("a", y)
+    valley = F.filter(inner, lambda y: (here(y) < F.col("low")) & (here(y) == F.array_min(F.slice("a", y - F.col("half") + 1, 2 * F.col("half") + 1))))
+    held = held.withColumn("at", valley)
     none = F.array().cast("array<int>")
-    kept = F.aggregate("at", none, lambda acc, p: F.when((F.size(acc) == 0) | (p - F.element_at(acc, -1) >= apart), F.concat(acc, F.array(p))).otherwise(acc))
-    many = F.greatest(F.lit(2), F.bround(F.col("n") / height).cast("int"))
+    kept = F.aggregate("at", none, lambda acc, p: F.when((F.size(acc) == 0) | (p - F.element_at(acc, -1) >= F.col("apart")), F.concat(acc, F.array(p))).otherwise(acc))
+    many = F.greatest(F.lit(2), F.bround(F.col("n") / F.col("h")).cast("int"))
     even = F.transform(F.sequence(F.lit(1), many - 1), lambda i: F.floor(i * F.col("n") / many).cast("int"))
-    held = held.withColumn("at", F.when(F.col("n") / height <= 1.2, none).otherwise(F.when(F.size(kept) > 0, kept).otherwise(even)))
+    held = held.withColumn("at", F.when(F.col("n") / F.col("h") <= 1.2, none).otherwise(F.when(F.size(kept) > 0, kept).otherwise(even)))
 
     def join_small(acc: Column, c: Column) -> Column:
-        last = F.element_at(acc, -1)
         moved = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(c))
-        return F.when(c - last >= least, F.concat(acc, F.array(c))).when(F.size(acc) > 1, moved).otherwise(acc)
+        return F.when(c - F.element_at(acc, -1) >= least, F.concat(acc, F.array(c))).when(F.size(acc) > 1, moved).otherwise(acc)
 
     cuts = F.aggregate(F.concat("at", F.array("n")), F.array(F.lit(0)), join_small)
     held = held.withColumn("cuts", cuts).withColumn("cuts", F.when(F.element_at("cuts", -1) == F.col("n"), F.col("cuts")).otherwise(F.concat("cuts", F.array("n"))))
