@@ -94,13 +94,13 @@ class Engine:
         return {"layouts": layout.layout_document(found, keys), "columns": cols, "cells": cells, "pages": done, "books": grid.book_json(done, "book", "page_id")}
 
     def run(self, path: str, pages: str | None = None, output: str | None = None, profiles: DataFrame | None = None, words: DataFrame | None = None) -> dict[str, DataFrame]:
-        """From a folder of page images to result documents.  With ``output`` the prepared
-        pages and each result are written below it, as Parquet, and read again: what follows
-        does not decode or prepare a page twice."""
+        """From a folder of page images to result documents.  With ``output`` the profiles, the
+        prepared pages and each result are written below it, as Parquet, and read again; else
+        they are checkpoints.  No page is decoded or prepared twice."""
         known = self.profiles(path) if profiles is None else profiles
+        known = store.cut(known) if output is None else self._kept(known, f"{output}/profiles")
         prepared = self.preprocess(path, pages, known)
-        if output is not None:
-            known, prepared = self._kept(known, f"{output}/profiles"), self._kept(prepared, f"{output}/prepared")
+        prepared = store.cut(prepared) if output is None else self._kept(prepared, f"{output}/prepared")
         out = self.extract(prepared, known, words)
         out["manifest"] = manifest(pf.plan_steps(known), self.pages(path, pages))
         if output is not None:

@@ -167,14 +167,25 @@ def rotate(image: np.ndarray, degrees: float) -> np.ndarray:
 
 def skew(image: np.ndarray, limit: float = 3.0, fine: float = 0.2, longest: int = 800) -> float:
     """Degrees by which to rotate so that rows separate best: the sum of squared row sums of
-    the ink over a coarse, then a fine grid of angles."""
-    mask = ink(image).astype(np.uint8)
+    the ink over a coarse, then a fine grid of angles.  Only where each inked cell would come
+    to lie is computed, not the rotated images."""
+    mask = ink(image)
     step = max(1, -(-max(mask.shape) // longest))
-    small = mask[::step, ::step] * np.uint8(255)
+    small = mask[::step, ::step]
+    h, w = small.shape
+    y, x = (c.astype(np.float64) for c in np.nonzero(small))
+
+    def score(angle: float) -> float:
+        t = np.deg2rad(angle)
+        row = np.cos(t) * (y - h / 2) - np.sin(t) * (x - w / 2) + h / 2
+        low = np.floor(row).astype(np.int64)
+        part = row - low
+        inside = (low >= 0) & (low < h)
+        sums = np.bincount(low[inside], 1 - part[inside], h + 1) + np.bincount(low[inside] + 1, part[inside], h + 1)
+        return float((sums * sums).sum())
 
     def best(angles: np.ndarray) -> float:
-        score = [float((rotate(small, a).astype(np.float64).sum(axis=1) ** 2).sum()) for a in angles]
-        return float(angles[int(np.argmax(score))])
+        return float(angles[int(np.argmax([score(a) for a in angles]))])
 
     coarse = best(np.arange(-limit, limit + 0.05, 0.1))
     return best(np.arange(coarse - fine, coarse + fine + 0.01, 0.02))

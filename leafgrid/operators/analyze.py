@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as ms
+from ..sources import store
 from . import aggregates as ag
 from . import pages as pg
 
@@ -26,9 +27,11 @@ SURE = "sure_"
 
 
 def sample(pages: DataFrame, book: str = "book", path: str = "path", n: int = SAMPLE) -> DataFrame:
-    """The first pages of each book, by path: all that an analysis looks at."""
-    rank = F.row_number().over(Window.partitionBy(book).orderBy(path))
-    return pages.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    """The first pages of each book, by path: all that an analysis looks at.  Ranks are taken
+    on the names alone; the images are then picked where they are read."""
+    first = pages.select(F.col(book).alias("_book"), F.col(path).alias("_path")).distinct()
+    first = first.withColumn("_rank", F.row_number().over(Window.partitionBy("_book").orderBy("_path"))).where(F.col("_rank") <= n).drop("_rank")
+    return pages.join(store.small(first), F.col(book).eqNullSafe(F.col("_book")) & (F.col(path) == F.col("_path")), "left_semi")
 
 
 def measured(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -181,5 +184,5 @@ def merged(parts: Sequence[DataFrame], book: str) -> DataFrame:
 def analyze(pages: DataFrame, keys: Sequence[str] = ("book", "path"), analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
     """One row per book: every registered analyzer over its first pages (``keys`` begin with
     ``book``)."""
-    m = measured(sample(pages, keys[0], keys[-1]), keys)
+    m = store.cut(measured(sample(pages, keys[0], keys[-1]), keys))  # a row a page; images are decoded once
     return merged([f(m, keys[0], keys[-1]) for f in (analyzers or ANALYZERS).values()], keys[0])

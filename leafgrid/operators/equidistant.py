@@ -72,6 +72,8 @@ def equidistant(lines: DataFrame, pages: DataFrame, keys: Keys, n: int) -> DataF
     page = page.where(F.size("some") >= n + 1)
     ranked = F.transform("some", lambda c, k: F.struct(k.alias("rank"), c["x"].cast("double").alias("x"), c["id"].alias("id"), c["length"].alias("length")))
     page = page.withColumn("some", ranked).withColumn("least", median_of(F.transform("some", lambda c: c["length"])) * 0.5)
+    # few bytes and much work a page: as many tasks as the session shuffles to
+    page = page.repartition(int(page.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     left = page.withColumn("a", F.explode("some"))
     pair = left.withColumn("b", F.explode(F.filter("some", lambda c: (c["rank"] >= F.col("a.rank") + n) & (c["x"] - F.col("a.x") >= LEAST_SPAN * F.col("page_width")))))
     pair = pair.withColumn("spacing", (F.col("b.x") - F.col("a.x")) / n)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..functions import pixels as px
+from ..sources import store
 
 Keys = Sequence[str]
 Step = Callable[[np.ndarray], list[tuple[str, np.ndarray]]]
@@ -107,7 +108,8 @@ def run(pages: DataFrame, plan: DataFrame, keys: Keys = ("book", "path"), steps:
     known = dict(STEPS if steps is None else steps)
     active = plan.where("active").groupBy("book").agg(F.array_sort(F.collect_list(F.struct("number", "step"))).alias("a"))
     active = active.select(F.col("book").alias("_book"), F.transform("a", lambda x: x["step"]).alias("_steps"))
-    both = pages.join(active, F.col(keys[0]) == F.col("_book"), "left")
+    # one row per book: sent to the images, which stay where they were read
+    both = pages.join(store.small(active), F.col(keys[0]) == F.col("_book"), "left")
     types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "sub string, part int, width int, height int, channels int, data binary, steps array<string>"])
     narrow = both.select(*keys, "_steps", *[F.col(f"image.{c}").alias(f"_{c}") for c in ("height", "width", "nChannels", "data")])

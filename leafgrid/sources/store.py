@@ -5,6 +5,16 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows of a few hundred bytes up to which a table is sent to every executor.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint, but only after ``df`` has been counted and is within ``rows``; beyond
+    it the same join is a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def cut(df: DataFrame) -> DataFrame:
