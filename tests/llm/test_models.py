@@ -46,7 +46,7 @@ def test_units_fold_disguises():
 
 @pytest.mark.parametrize(
     "text",
-    ["1d10t", "i1d2i3o4t", "12:30:05,idiot", "a1,b2,c3,idiot", "i_d_i_o_t", "i d i o t", "x i _ d _ i _ o _ t x", "http://a.b/c?user=idiot&n=1234", '{"k":"idiot","n":10000}', "2024-01-01T10:00:00;1D10T"],
+    ["1d10t", "i1d2i3o4t", "12:30:05,idiot", "a1,b2,c3,idiot", "i_d_i_o_t", "i d i o t", "look i _ d _ i _ o _ t here", "http://a.b/c?user=idiot&n=1234", '{"k":"idiot","n":10000}', "2024-01-01T10:00:00;1D10T"],
 )
 def test_insults_inside_digits_marks_and_runs(text):
     assert "^^idiot$" in {x for u in toxicity.units(text) for x in toxicity.fold(u)}
