@@ -67,7 +67,8 @@ class Engine:
 
     def extract(self, prepared: DataFrame, profiles: DataFrame, words: DataFrame | None = None) -> dict[str, DataFrame]:
         """The layout and the character grid of prepared pages: ``layouts``, ``columns``,
-        ``cells``, ``pages`` (a JSON document each) and ``books``.
+        ``cells``, ``pages`` (a JSON document each), ``books``, and ``drawings``, the boxes of an
+        annotated page.
 
         ``words`` (``book, page_id, idx, word_id, text, w_top, w_bottom``) are recognised
         characters by column; without them cells follow the ink alone.
@@ -91,7 +92,8 @@ class Engine:
         border = F.struct(F.col("border_style").alias("style"), "outer", "inner")
         page = page.select(*keys, "page_width", "page_height", "lines_per_page", "chars_per_line", F.round(F.coalesce("char_height", F.lit(0.0)), 2).alias("char_height"), border.alias("border"))
         done = store.cut(grid.page_json(cells, cols, own, "idx", page))
-        return {"layouts": layout.layout_document(found, keys), "columns": cols, "cells": cells, "pages": done, "books": grid.book_json(done, "book", "page_id")}
+        shown = pg.drawings(found, cells, keys)
+        return {"layouts": layout.layout_document(found, keys), "drawings": shown, "columns": cols, "cells": cells, "pages": done, "books": grid.book_json(done, "book", "page_id")}
 
     def run(self, path: str, pages: str | None = None, output: str | None = None, profiles: DataFrame | None = None, words: DataFrame | None = None) -> dict[str, DataFrame]:
         """From a folder of page images to result documents.  With ``output`` the profiles, the

@@ -386,6 +386,90 @@ def red_shares(image: np.ndarray, hsv: np.ndarray, gray: np.ndarray, mask: np.nd
     return text, reds, strips
 
 
+# --- frames and ruled lines ---------------------------------------------------------
+
+# Divisors of the height and of the width by which lines of all lengths are opened.
+LINE_SCALES = {0: (4, 6, 10, 15, 25), 1: (4, 8, 16)}
+FRAME_SCHEMA = (
+    "margin_top int, margin_bottom int, margin_left int, margin_right int, margin_color string, border_top int, border_bottom int, border_left int, border_right int, "
+    "content_top int, content_bottom int, content_left int, content_right int"
+)
+
+
+def colored_ink(image: np.ndarray) -> np.ndarray:
+    """Cells of red, blue or other strong colour, which a gray threshold does not see."""
+    if image.ndim == 2:
+        return np.zeros(image.shape, dtype=bool)
+    h, s, v = np.moveaxis(px.hsv(image), -1, 0)
+    hued = (h <= 10) | (h >= 160) | ((h >= 100) & (h <= 130))
+    return (hued & (s >= 80) & (v >= 60)) | ((s > 120) & (v > 50))
+
+
+def ruled_mask(image: np.ndarray) -> np.ndarray:
+    """The ruled lines of a page without its letters: strokes that are long once small breaks
+    are bridged, faint and coloured ones among them."""
+    gray = px.gray(image)
+    dark = gray <= max(px.otsu(gray), min(int(px.otsu(gray) * 1.5), 200))
+    on = dark | colored_ink(image)
+    out = np.zeros_like(on)
+    for axis, parts in LINE_SCALES.items():
+        for part in parts:
+            least = max(on.shape[axis] // part, 8)
+            reach = max(min(least // 10, 15), 2) // 2
+            bridged = on.copy()
+            for k in range(1, reach + 1):
+                ahead, back = [slice(None)] * 2, [slice(None)] * 2
+                ahead[axis], back[axis] = slice(k, None), slice(None, -k)
+                bridged[tuple(ahead)] |= on[tuple(back)]
+                bridged[tuple(back)] |= on[tuple(ahead)]
+            out |= px.open_lines(bridged, least, axis) & on
+    return out
+
+
+def margins(gray: np.ndarray, deep: float = 0.15) -> dict:
+    """Rows and columns at each edge that are even and unlike the page's middle, which a
+    photograph's background is and a page's own blank is not; and their colour."""
+    h, w = gray.shape
+    middle = float(gray[h // 3 : max(2 * h // 3, h // 3 + 1), w // 3 : max(2 * w // 3, w // 3 + 1)].mean())
+    across, along = gray[:, int(w * 0.2) : max(int(w * 0.8), 1)].astype(float), gray[int(h * 0.2) : max(int(h * 0.8), 1)].astype(float).T
+    out = {}
+    for side, lines, n in (("top", across, h), ("bottom", across[::-1], h), ("left", along, w), ("right", along[::-1], w)):
+        some = lines[: int(n * deep)]
+        ok = (some.std(axis=1) <= 20) & (np.abs(some.mean(axis=1) - middle) >= 30)
+        out[f"margin_{side}"] = int(np.argmin(np.append(ok, False)))
+    t, b, l, r = (out[f"margin_{s}"] for s in ("top", "bottom", "left", "right"))  # noqa: E741
+    strips = [x.mean() for n, x in ((t, gray[:t]), (b, gray[h - b :]), (l, gray[:, :l]), (r, gray[:, w - r :])) if n > 5]
+    level = float(np.mean(strips)) if strips else None
+    return out | {"margin_color": "none" if level is None else "white" if level > 200 else "black" if level < 60 else "other"}
+
+
+def frame(image: np.ndarray) -> dict:
+    """Margins, the outermost border lines inside them and the content within those, named as
+    in ``FRAME_SCHEMA``.  A border is the first row or column from its edge that a long line
+    covers for 15 % of the page, else one much darker than the middle, else 5 % in."""
+    gray = px.gray(image)
+    h, w = gray.shape
+    out = margins(gray)
+    top, bottom, left, right = out["margin_top"], h - out["margin_bottom"], out["margin_left"], w - out["margin_right"]
+    if min(bottom - top, right - left) < 50:
+        top, bottom, left, right = 0, h, 0, w
+    page = gray[top:bottom, left:right]
+    mask = px.ink(page) | colored_ink(image[top:bottom, left:right])
+    ends = {}
+    for axis, base, names in ((1, top, ("top", "bottom")), (0, left, ("left", "right"))):
+        n, span = page.shape[1 - axis], page.shape[axis]
+        long = px.open_lines(mask, max(span // (16 if axis == 1 else 10), 15), axis).sum(axis=axis) > span * 0.15
+        level = page.mean(axis=axis)
+        dark = level < level[n // 4 : max(3 * n // 4, n // 4 + 1)].mean() - 40
+        skip = max(int(n * 0.01), 2)
+        for name, places, usual in ((names[0], np.arange(skip, n // 2), int(n * 0.05)), (names[1], np.arange(n - 1 - skip, n // 2, -1), int(n * 0.95))):
+            hit = next((places[on[places]][0] for on in (long, dark) if on[places].any()), usual)
+            ends[name] = base + int(hit)
+    inset = max((ends["right"] - ends["left"]) // 100, 3)
+    content = {"top": ends["top"] + inset, "bottom": ends["bottom"] - inset, "left": ends["left"] + inset, "right": ends["right"] - inset}
+    return out | {f"border_{k}": v for k, v in ends.items()} | {f"content_{k}": v for k, v in content.items()}
+
+
 SCHEMA = (
     "aspect double, symmetry double, gap double, rule double, v_cut double, h_cut double, is_table boolean, is_mixed boolean, "
     "pictured boolean, pictured_right boolean, lines int, ruled boolean, lines_right int, ruled_right boolean, colored_rules boolean, "

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..functions import pixels as px
+from ..functions.scalars import cell_label
 from . import sequence as sq
 
 Keys = Sequence[str]
@@ -74,6 +75,25 @@ def ink_masks(pages: DataFrame, keys: Keys) -> DataFrame:
     return per_image(pages, keys, "height int, width int, bits binary", kernel)
 
 
+def frames(pages: DataFrame, keys: Keys) -> DataFrame:
+    """``keys`` and each page's margins, border and content (:func:`measures.frame`)."""
+    return per_image(pages, keys, ms.FRAME_SCHEMA, lambda image: [ms.frame(image)])
+
+
+def drawings(found: dict[str, DataFrame], cells: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, layer, x0, y0, x1, y1, color, label``: what an annotated page shows, as a list of
+    boxes and lines: columns, the inner frame, and cells with their number (margins without)."""
+    f = found["frame"].select(*keys, F.lit("frame").alias("layer"), F.col("left").alias("x0"), F.col("top").alias("y0"), F.col("right").alias("x1"), F.col("bottom").alias("y1"), F.lit("green").alias("color"), F.lit("").alias("label"))
+    cols = found["columns"].join(found["frame"].select(*keys, "top", "bottom"), list(keys))
+    c = cols.select(*keys, F.lit("column").alias("layer"), F.col("left_x").alias("x0"), F.col("top").alias("y0"), F.col("right_x").alias("x1"), F.col("bottom").alias("y1"), F.lit("blue").alias("color"), F.col("idx").cast("string").alias("label"))
+    tint = F.when(F.col("type") == "char", "red").when(F.col("type") == "empty", "gray").when(F.col("type") == "margin", "yellow").otherwise("orange")
+    sub = F.col("sub_col") if "sub_col" in cells.columns else F.lit(None).cast("int")
+    label = F.when(F.col("index").isNull(), F.lit("")).otherwise(cell_label(F.col("index"), sub))
+    held = cells.join(found["columns"].select(*keys, "idx", "left_x", "right_x"), [*keys, "idx"])
+    e = held.select(*keys, F.lit("cell").alias("layer"), F.col("left_x").alias("x0"), F.col("y_top").alias("y0"), F.col("right_x").alias("x1"), F.col("y_bottom").alias("y1"), tint.alias("color"), label.alias("label"))
+    return f.unionByName(c).unionByName(e)
+
+
 def halves(pages: DataFrame, keys: Keys, fixed: bool = False) -> DataFrame:
     """``keys, sub, part, center, width, height, data``: the right half first, then the left,
     cut at the fold that the same pass finds, or in the middle if ``fixed``."""

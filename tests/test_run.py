@@ -173,3 +173,33 @@ def test_double_row_of_a_whole_column(spark):
     cols = spark.createDataFrame([("p", 1, 5.0, 115.0, 0.0, 300.0, 15), ("p", 2, 0.0, 20.0, 0.0, 300.0, 15)], "page string, idx int, left_x double, right_x double, top double, bottom double, expected int")
     r = grid.column_regions(masks, cols, ["page"]).collect()
     assert [(x["idx"], x["double_row"], len(x["regions"])) for x in r] == [(1, True, 14)] and 45 <= r[0]["split_x"] <= 70
+
+
+def test_drawings_cover_columns_and_cells(made):
+    got = made["drawings"].where("page_id = 'p_01'").collect()
+    kinds = {k: [r for r in got if r["layer"] == k] for k in ("frame", "column", "cell")}
+    assert len(kinds["frame"]) == 1 and len(kinds["column"]) == COLUMNS
+    numbered = [r for r in kinds["cell"] if r["label"]]
+    assert len(numbered) == COLUMNS * CHARS and {r["color"] for r in numbered} == {"red"} and {r["label"] for r in numbered} == {str(k + 1) for k in range(CHARS)}
+
+
+def test_frame_inside_a_photographed_margin():
+    page, _ = ruled_page(range(COLUMNS))
+    photo = np.full((1000, 800, 3), 20, np.uint8)
+    photo[50:950, 50:750] = page
+    got = ms.frame(photo)
+    assert got["margin_color"] == "black" and all(abs(got[f"margin_{s}"] - 50) <= 1 for s in ("top", "bottom", "left", "right"))
+    assert abs(got["border_top"] - 80) <= 5 and abs(got["border_left"] - 80) <= 5 and abs(got["border_right"] - 720) <= 5 and abs(got["border_bottom"] - 920) <= 5
+    assert got["content_left"] == got["border_left"] + (got["border_right"] - got["border_left"]) // 100
+    blank = ms.frame(np.full((200, 100), 250, np.uint8))
+    assert (blank["margin_color"], blank["border_top"], blank["border_bottom"], blank["border_left"]) == ("none", 10, 190, 5)
+
+
+def test_ruled_lines_without_letters():
+    page, xs = ruled_page()
+    page[48:852, int(xs[3]) : int(xs[3]) + 2] = (60, 60, 220)  # a red divider (BGR)
+    got = ms.ruled_mask(page)
+    assert got[100:800, int(xs[3])].mean() > 0.95 and got[100:800, int(xs[2])].mean() > 0.95
+    letters = np.zeros(got.shape, bool)
+    letters[:, int(xs[0]) + 18 : int(xs[0]) + 44] = True
+    assert got[letters][: 60 * 26].mean() < 0.2 and ms.colored_ink(page).sum() == 804 * 2
