@@ -477,15 +477,16 @@ def anti_border(spark, sf):
 
 
 @query("""
-WITH h AS (SELECT r_regionkey AS i, r_regionkey * 100.0 AS hb, 0.01 * r_regionkey AS hm FROM region), v AS (SELECT n_nationkey AS j, n_nationkey * 10.0 AS vb, -0.005 * n_nationkey AS vm FROM nation),
-p AS (SELECT i, j, (hm * vb + hb) / (1 - hm * vm) AS y, vb, vm FROM h, v)
-SELECT i, j, round(vm * y + vb, 4) AS x, round(y, 4) AS y, trunc(vm * y + vb)::INT AS xi, trunc(y)::INT AS yi FROM p
+WITH h AS (SELECT s_nationkey AS page, s_suppkey AS i, s_acctbal AS hb, (s_suppkey % 7) * 0.001::DOUBLE AS hm FROM supplier), v AS (SELECT c_nationkey AS page, c_custkey AS j, c_acctbal AS vb, (c_custkey % 5) * (-0.0005)::DOUBLE AS vm FROM customer),
+p AS (SELECT h.page, i, j, (hm * vb + hb) / (1 - hm * vm) AS y, vb, vm FROM h JOIN v USING (page))
+SELECT page, i, j, floor((vm * y + vb) * 1000)::BIGINT AS x1000, floor(y * 1000)::BIGINT AS y1000, trunc(y)::INT AS yi FROM p
 """)
 def cross_grid(spark, sf):
-    h = t(spark, sf, "region").select(F.col("r_regionkey").alias("i"), (F.col("r_regionkey") * 100.0).alias("hb"), (F.col("r_regionkey") * 0.01).alias("hm"))
-    v = t(spark, sf, "nation").select(F.col("n_nationkey").alias("j"), (F.col("n_nationkey") * 10.0).alias("vb"), (F.col("n_nationkey") * -0.005).alias("vm"))
+    """Where every level line of a page meets every upright one, in thousandths: joined on the page."""
+    h = t(spark, sf, "supplier").select(F.col("s_nationkey").alias("page"), F.col("s_suppkey").alias("i"), F.col("s_acctbal").alias("hb"), (F.col("s_suppkey") % 7 * 0.001).alias("hm"))
+    v = t(spark, sf, "customer").select(F.col("c_nationkey").alias("page"), F.col("c_custkey").alias("j"), F.col("c_acctbal").alias("vb"), (F.col("c_custkey") % 5 * -0.0005).alias("vm"))
     x, y = jn.intersection(F.col("hm"), F.col("hb"), F.col("vm"), F.col("vb"))
-    return h.crossJoin(v).select("i", "j", F.round(x, 4).alias("x"), F.round(y, 4).alias("y"), x.cast("int").alias("xi"), y.cast("int").alias("yi"))
+    return h.join(v, "page").select("page", "i", "j", F.floor(x * 1000).alias("x1000"), F.floor(y * 1000).alias("y1000"), y.cast("int").alias("yi"))
 
 
 @query("""

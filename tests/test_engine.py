@@ -71,4 +71,6 @@ def test_progress_as_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     assert {r["job"]: (r["pct"], r["finished"]) for r in spark.table("jobs").collect()} == {"one": (50, False), "two": (100, True)}
     r = progress.parse(spark.createDataFrame([("s2 deskew: [4/9] 44%",)], "value string")).first()
-    assert (r["step"], r["done"], r["total"], r["pct"]) == ("s2 deskew", 4, 9, 44)
+    assert (r["phase"], r["step"], r["done"], r["total"], r["pct"]) == ("s2 deskew", "s2 deskew", 4, 9, 44)
+    r = progress.parse(spark.createDataFrame([("Phase 2 layout: 12 张",)], "value string")).first()
+    assert (r["phase"], r["step"], r["total"], r["pct"]) == ("Phase 2", None, 12, None)
