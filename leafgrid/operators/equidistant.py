@@ -22,6 +22,12 @@ COMPANION, COMPANION_BONUS = 80.0, 0.15
 EDGE_ZONE, EDGE_PENALTY = 0.15, 0.3
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` worked out once a row: a generator of one row is not folded into
+    the expressions that use it, as a plain column would be, down to the elements of arrays."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def median_of(xs: Column) -> Column:
     """The median of an array, the mean of the middle two."""
     s, n = F.array_sort(xs), F.size(xs)
@@ -44,11 +50,15 @@ def _inner_lines(lines: Column, left: Column, right: Column, spacing: Column, n:
         at = left["x"] + k * spacing
         open_ = F.filter(lines, lambda c: (c["rank"] > acc["last"]) & (c["rank"] < right["rank"]))
         near = F.array_min(F.transform(open_, lambda c: F.struct(F.abs(c["x"] - at).alias("d"), c["rank"].alias("rank"), c["id"].alias("id"))))
-        failed = acc["failed"] | near.isNull() | (near["d"] > STRAY * spacing)
-        return F.struct(
-            F.when(failed, acc["dev"]).otherwise(acc["dev"] + near["d"]).alias("dev"), F.when(failed, acc["taken"]).otherwise(F.concat(acc["taken"], F.array(near["id"]))).alias("taken"),
-            F.when(failed, acc["last"]).otherwise(near["rank"]).alias("last"), failed.alias("failed"),
-        )
+
+        def taken(near: Column) -> Column:
+            failed = acc["failed"] | near.isNull() | (near["d"] > STRAY * spacing)
+            return F.struct(
+                F.when(failed, acc["dev"]).otherwise(acc["dev"] + near["d"]).alias("dev"), F.when(failed, acc["taken"]).otherwise(F.concat(acc["taken"], F.array(near["id"]))).alias("taken"),
+                F.when(failed, acc["last"]).otherwise(near["rank"]).alias("last"), failed.alias("failed"),
+            )
+
+        return F.get(F.transform(F.array(near), taken), F.lit(0))
 
     places = F.sequence(F.lit(1), F.lit(n - 1)) if n > 1 else F.array().cast("array<int>")
     return F.aggregate(places, zero, step)
@@ -77,10 +87,10 @@ def equidistant(lines: DataFrame, pages: DataFrame, keys: Keys, n: int) -> DataF
     left = page.withColumn("a", F.explode("some"))
     pair = left.withColumn("b", F.explode(F.filter("some", lambda c: (c["rank"] >= F.col("a.rank") + n) & (c["x"] - F.col("a.x") >= LEAST_SPAN * F.col("page_width")))))
     pair = pair.withColumn("spacing", (F.col("b.x") - F.col("a.x")) / n)
-    pair = pair.withColumn("fold", _inner_lines(F.col("some"), F.col("a"), F.col("b"), F.col("spacing"), n)).where(~F.col("fold.failed") & (F.col("spacing") > 0))
-    pair = pair.withColumn("ids", F.concat("fold.taken", F.array("b.id")))
+    pair = once(pair, "fold", _inner_lines(F.col("some"), F.col("a"), F.col("b"), F.col("spacing"), n)).where(~F.col("fold.failed") & (F.col("spacing") > 0))
+    pair = once(pair, "ids", F.concat("fold.taken", F.array("b.id")))
     lengths = F.transform(F.filter("some", lambda c: F.array_contains("ids", c["id"])), lambda c: c["length"])
-    pair = pair.withColumn("lengths", lengths)
+    pair = once(pair, "lengths", lengths)
     middle = median_of(F.col("lengths"))
     cv = F.when(middle > 0, spread_of(F.col("lengths")) / middle).otherwise(0.0)
     reach = F.least(F.lit(COMPANION), F.col("spacing") * 0.5)
