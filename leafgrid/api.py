@@ -12,6 +12,7 @@ from .operators import analyze as an
 from .operators import grid, layout
 from .operators import pages as pg
 from .operators import preprocess as pp
+from .operators import watermark
 from .sources import profiles as pf
 from .sources import scan, store
 
@@ -61,7 +62,12 @@ class Engine:
         """``book, path, sub, page_id, image, steps``: pages after the steps that their book's
         profile asks for; the parts of a cut page have a row each."""
         known = self.profiles(path) if profiles is None else profiles
-        made = pp.run(self.pages(path, pages), pf.plan_steps(known))
+        plan = pf.plan_steps(known)
+        marked = plan.where("active and step = 'remove_watermark'").select("book")
+        masks = None
+        if not marked.isEmpty():  # a mark is looked for on all pages of a book
+            masks = store.cut(watermark.masks(self.pages(path).join(store.small(marked), "book", "left_semi")))
+        made = pp.run(self.pages(path, pages), plan, masks=masks)
         image = F.struct("height", "width", F.col("channels").alias("nChannels"), "data")
         return made.select("book", "path", "sub", F.concat(clean_stem(F.col("path")), "sub").alias("page_id"), image.alias("image"), "steps")
 

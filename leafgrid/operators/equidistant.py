@@ -3,16 +3,22 @@
 Pairs of outer lines are enumerated by a self-join on the page's key, the candidates of a page
 being a few dozen; for each pair the inner lines are chosen by a fold over the ideal places
 (each takes the nearest candidate after the last one taken), and pairs are scored by
-expressions.  Nothing leaves the DataFrame.
+expressions.  A page's map onto its ideal grid is a robust fit of its few dozen points.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as geo
+from ..functions import pixels as px
+from ..sources import store
+
 Keys = Sequence[str]
 
 #: Least share of the page's height, of its width for the whole grid, and of the spacing.
@@ -110,3 +116,44 @@ def expected_places(ends: DataFrame, keys: Keys, n: int) -> DataFrame:
     return ends.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("k"), "left", "right").select(
         *keys, "k", (F.col("left") + F.col("k") * (F.col("right") - F.col("left")) / n).alias("x")
     )
+
+
+def grid_maps(points: DataFrame, keys: Keys, tolerance: float = 5.0) -> DataFrame:
+    """``keys, matrix, followers``: the projective map (nine numbers, by rows) that most of a
+    page's ``points`` (``x, y`` found, ``to_x, to_y`` ideal) follow within ``tolerance``.
+
+    A page has two points a line.  One with fewer than four points that agree, or all of them
+    in a line, has a null matrix.
+    """
+    types = {f.name: f.dataType.simpleString() for f in points.schema.fields}
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "matrix array<double>, followers int"])
+
+    def fit(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["to_x", "to_y", "x", "y"])
+        matrix, follows = geo.robust_homography(own[["x", "y"]].to_numpy(float), own[["to_x", "to_y"]].to_numpy(float), tolerance)
+        return pd.DataFrame([dict(zip(keys, key)) | {"matrix": None if matrix is None else matrix.ravel().tolist(), "followers": int(follows.sum())}])
+
+    whole = points.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("x", "y", "to_x", "to_y")]).dropna(subset=["x", "y", "to_x", "to_y"])
+    return whole.groupBy(*keys).applyInPandas(fit, schema)
+
+
+def warped(pages: DataFrame, maps: DataFrame, keys: Keys) -> DataFrame:
+    """``keys, width, height, channels, data``: pages under their maps, at the median size of
+    all pages; a page without a map comes out as it is read."""
+    size = pages.agg(F.median("image.width").cast("int").alias("_w"), F.median("image.height").cast("int").alias("_h"))
+    own = maps.select(*keys, F.col("matrix").alias("_matrix"))
+    both = pages.join(store.small(own), list(keys), "left").join(F.broadcast(size))  # one row
+    types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "width int, height int, channels int, data binary"])
+    narrow = both.select(*keys, "_matrix", "_w", "_h", *[F.col(f"image.{c}").alias(f"_{c}") for c in ("height", "width", "nChannels", "data")])
+
+    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.to_dict("records"):  # one page at a time: images are large
+                image = px.from_row(r["_height"], r["_width"], r["_nChannels"], r["_data"])
+                if r["_matrix"] is not None:
+                    image = geo.warp(image, np.array(r["_matrix"], float).reshape(3, 3), r["_h"], r["_w"])
+                out = {"width": image.shape[1], "height": image.shape[0], "channels": 1 if image.ndim == 2 else image.shape[2], "data": np.ascontiguousarray(image).tobytes()}
+                yield pd.DataFrame([{k: r[k] for k in keys} | out])
+
+    return narrow.mapInPandas(apply, schema)

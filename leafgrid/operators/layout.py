@@ -126,6 +126,12 @@ def _cluster(rows: pd.DataFrame, pos_tol: float, max_gap: float) -> list[dict]:
     return out
 
 
+def fold_lines(rows: pd.DataFrame, pos_tol: float = POS_TOL, max_gap: float = MAX_GAP) -> list[dict]:
+    """The collinear clusters of one axis, by intercept, from ``c1, p1, c2, p2, width``: ends
+    along the axis and across it."""
+    return _cluster(rows.sort_values(["c1", "p1", "c2", "p2", "width"], kind="stable"), pos_tol, max_gap)
+
+
 def cluster(segments: DataFrame, keys: Keys, pos_tol: float = POS_TOL, max_gap: float = MAX_GAP) -> DataFrame:
     """Collinear clusters of the horizontal and vertical segments of :func:`classify` (with
     ``width``): ``keys, axis, cluster_id, intercept, slope, segments, total_length, avg_width,
@@ -141,8 +147,7 @@ def cluster(segments: DataFrame, keys: Keys, pos_tol: float = POS_TOL, max_gap:
     names = [*keys, "axis"]
 
     def fold(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values(["c1", "p1", "c2", "p2", "width"], kind="stable")
-        found = _cluster(own, pos_tol, max_gap)
+        found = fold_lines(own, pos_tol, max_gap)
         return pd.DataFrame([dict(zip(names, key)) | {"cluster_id": k} | c for k, c in enumerate(found)])
 
     return rows.groupBy(*names).applyInPandas(fold, schema)
