@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -165,11 +167,11 @@ def rotate(image: np.ndarray, degrees: float) -> np.ndarray:
     return np.rint(out).astype(np.uint8)
 
 
-def skew(image: np.ndarray, limit: float = 3.0, fine: float = 0.2, longest: int = 800) -> float:
+def skew(image: np.ndarray, limit: float = 3.0, fine: float = 0.2, longest: int = 800, marks: Callable[[np.ndarray], np.ndarray] = ink) -> float:
     """Degrees by which to rotate so that rows separate best: the sum of squared row sums of
-    the ink over a coarse, then a fine grid of angles.  Only where each inked cell would come
+    the marks (the ink; :func:`edges` on unevenly lit pages) over a coarse, then a fine grid of angles.  Only where each inked cell would come
     to lie is computed, not the rotated images."""
-    mask = ink(image)
+    mask = marks(image)
     step = max(1, -(-max(mask.shape) // longest))
     small = mask[::step, ::step]
     h, w = small.shape
@@ -191,6 +193,43 @@ def skew(image: np.ndarray, limit: float = 3.0, fine: float = 0.2, longest: int
     return best(np.arange(coarse - fine, coarse + fine + 0.01, 0.02))
 
 
+def edges(image: np.ndarray, low: float = 50, high: float = 150) -> np.ndarray:
+    """True on the ridges of the gradient above ``low`` that hang together with one above
+    ``high``: Sobel slopes, the larger of a cell and its neighbours along the slope."""
+    g = np.pad(gray(image).astype(np.int64), 1, mode="edge")
+    rows, cols = g[:-2] + 2 * g[1:-1] + g[2:], g[:, :-2] + 2 * g[:, 1:-1] + g[:, 2:]
+    dx, dy = rows[:, 2:] - rows[:, :-2], cols[2:] - cols[:-2]
+    size = np.abs(dx) + np.abs(dy)
+    h, w = size.shape
+    wide = np.pad(size, 1)
+    at = lambda y, x: wide[1 + y : 1 + y + h, 1 + x : 1 + x + w]
+    steep = np.tan(np.pi / 8)
+    level, upright = np.abs(dy) <= steep * np.abs(dx), np.abs(dx) < steep * np.abs(dy)
+    falling = dx * dy >= 0
+    before = np.select([level, upright, falling], [at(0, -1), at(-1, 0), at(-1, -1)], at(-1, 1))
+    after = np.select([level, upright, falling], [at(0, 1), at(1, 0), at(1, 1)], at(1, -1))
+    ridge = (size > low) & (size > before) & (size >= after)
+    n, label = components(ridge)
+    strong = np.zeros(n + 1, dtype=bool)
+    strong[label[ridge & (size > high)]] = True
+    return strong[label] & ridge
+
+
+def line_widths(mask: np.ndarray, along: np.ndarray, across: np.ndarray, axis: int, margin: int = 8) -> np.ndarray:
+    """Ink across a line at its places, 0 where none is within ``margin``: the run through the
+    nearest inked cell (the former on ties), at most ``margin`` further each way, so that
+    touching letters do not count.  ``axis`` 1 is a level line, 0 an upright one."""
+    m = mask if axis == 1 else mask.T
+    along, across = np.asarray(along, int), np.asarray(across, int)
+    inked = lambda c, p: np.where((c >= 0) & (c < m.shape[0]) & (p >= 0) & (p < m.shape[1]), m[np.clip(c, 0, m.shape[0] - 1), np.clip(p, 0, m.shape[1] - 1)], False)
+    steps = np.array(sorted(range(-margin, margin + 1), key=lambda k: (abs(k), k)))
+    found = inked(across[:, None] + steps, along[:, None]) & (across >= 0)[:, None] & (across < m.shape[0])[:, None]
+    start = across + steps[found.argmax(axis=1)]
+    reach = np.arange(1, margin + 1)
+    out = 1 + sum(np.logical_and.accumulate(inked(start[:, None] + side * reach, along[:, None]), axis=1).sum(axis=1) for side in (-1, 1))
+    return np.where(found.any(axis=1), out, 0)
+
+
 def line_segments(mask: np.ndarray, least: int = 30) -> list[dict]:
     """Straight ruled stretches of ``least`` cells or more: ``x1, y1, x2, y2, width``.
 

@@ -26,6 +26,9 @@ LEAST_LENGTH, LEAST_SPAN, STRAY = 0.3, 0.3, 0.3
 #: A frame's outer line stands nearer than this, and than half a spacing.
 COMPANION, COMPANION_BONUS = 80.0, 0.15
 EDGE_ZONE, EDGE_PENALTY = 0.15, 0.3
+#: Of a grid that was chosen: how near an end's outer line is, in spacings, and how long an
+#: end must be beside the lines between.
+NEAR_SHARE, SHORT_SHARE = 0.4, 0.85
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -111,6 +114,69 @@ def equidistant(lines: DataFrame, pages: DataFrame, keys: Keys, n: int) -> DataF
     return pair.groupBy(*keys).agg(best).select(*keys, "best.ids", "best.spacing", "best.score")
 
 
+def _with_checked_ends(x: np.ndarray, length: np.ndarray, chosen: list[int], n: int, width: float, height: float) -> list[int] | None:
+    """Places of a page's lines, in order of ``x``, after the checks of :func:`checked_ends`."""
+    candidate = np.flatnonzero(length >= LEAST_LENGTH * height)
+    long = length >= np.median(length[candidate]) * 0.5
+    spacing = (x[chosen[-1]] - x[chosen[0]]) / n
+    reach = min(COMPANION, NEAR_SHARE * spacing)
+
+    def beside(k: int, side: int) -> bool:
+        gap = side * (x - x[k])
+        return bool((long & (gap > 5) & (gap <= reach)).any())
+
+    def next_out(end: int, side: int, step: float, wanted) -> int | None:
+        gap = side * (x[candidate] - x[end])
+        return next((int(k) for k in candidate[np.abs(gap - step) < STRAY * step][::side] if wanted(k)), None)
+
+    out = list(chosen)
+    for side, end in ((-1, chosen[0]), (1, chosen[-1])):
+        if beside(end, side):
+            continue
+        depth = (lambda k: x[k]) if side < 0 else (lambda k: width - x[k])
+        more = next_out(end, side, spacing, lambda k: depth(k) >= EDGE_ZONE * width and beside(k, side))  # noqa: B023
+        if more is not None:
+            out = [more, *out[:n]] if side < 0 else [*out[1:], more]
+    usual = float(np.median(length[out[1:-1]])) if n > 1 else 0.0
+    for side in (-1, 1):
+        if len(out) != n + 1 or length[out[0 if side < 0 else -1]] >= usual * SHORT_SHARE:
+            continue
+        out = out[1:] if side < 0 else out[:-1]
+        other = out[-1] if side < 0 else out[0]
+        more = next_out(other, -side, (x[out[-1]] - x[out[0]]) / max(len(out) - 1, 1), lambda k: True)
+        out = out if more is None else [*out, more] if side < 0 else [more, *out]
+    return out if len(out) == n + 1 else None
+
+
+def checked_ends(lines: DataFrame, chosen: DataFrame, pages: DataFrame, keys: Keys, n: int) -> DataFrame:
+    """``keys, ids, spacing``: the grids of :func:`equidistant` with their ends checked.
+
+    An end without an outer companion moves one spacing out to a line that has one, not into
+    the page's edge zone; an end shorter than 85 % of the lines between is dropped, and the
+    other end moves out instead.  Pages left with another number of lines give no row.
+    """
+    item = F.struct(F.col("x").cast("double").alias("x"), "id", F.col("length").cast("double").alias("length"))
+    every = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("c"))
+    page = every.join(chosen.select(*keys, "ids"), list(keys)).join(pages.select(*keys, "page_width", "page_height"), list(keys))
+    part = lambda name: F.transform("c", lambda c: c[name])
+    picked = F.transform("ids", lambda i: (F.array_position(part("id"), i) - 1).cast("int"))
+    narrow = page.select(*keys, part("x").alias("_x"), part("length").alias("_length"), picked.alias("_picked"), F.col("page_width").cast("double").alias("_w"), F.col("page_height").cast("double").alias("_h"), part("id").alias("_id"))
+    types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), f"ids {types['_id']}, spacing double"])
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for r in frame.to_dict("records"):
+                x = np.asarray(r["_x"], float)
+                kept = _with_checked_ends(x, np.asarray(r["_length"], float), list(r["_picked"]), n, r["_w"], r["_h"])
+                if kept is not None:
+                    out.append({k: r[k] for k in keys} | {"ids": [r["_id"][k] for k in kept], "spacing": (x[kept[-1]] - x[kept[0]]) / n})
+            yield pd.DataFrame(out, columns=[*keys, "ids", "spacing"])
+
+    return narrow.mapInPandas(check, schema)
+
+
 def expected_places(ends: DataFrame, keys: Keys, n: int) -> DataFrame:
     """``keys, k, x``: the ideal places of ``n`` equal columns between ``left`` and ``right``."""
     return ends.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("k"), "left", "right").select(

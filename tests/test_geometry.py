@@ -155,3 +155,60 @@ def test_pages_are_warped_onto_their_grid(spark, marked):
     assert got["3"]["data"] == raw["3"].tobytes()
     flat = eq.grid_maps(points.withColumn("y", F.lit(5.0)), keys).collect()
     assert {r["matrix"] for r in flat} == {None}
+
+
+def test_edges_ring_a_block_and_leave_weak_ones():
+    image = np.full((60, 60), 200, np.uint8)
+    image[20:40, 20:40] = 40
+    image[5:9, 5:9] = 190  # below the lower limit
+    on = px.edges(image)
+    y, x = np.nonzero(on)
+    assert y.min() in (19, 20) and y.max() in (39, 40) and x.min() in (19, 20) and x.max() in (39, 40)
+    assert not on[22:38, 22:38].any() and (on[:, 25:35].sum(axis=0) == 2).all() and (on[25:35].sum(axis=1) == 2).all()
+    assert not px.edges(np.full((10, 10), 7, np.uint8)).any()
+    tilted = px.rotate(np.where(np.arange(300)[:, None] % 30 < 4, 0, 255).repeat(300, 1).astype(np.uint8), 1.5)
+    assert abs(px.skew(tilted, marks=px.edges) + 1.5) < 0.3
+
+
+def test_line_widths_against_every_place():
+    rng = np.random.default_rng(8)
+    mask = rng.random((40, 50)) < 0.45
+    along, across, margin = np.arange(-2, 52), rng.integers(-3, 43, 54), 4
+
+    def one(m, c, p):
+        if not (0 <= p < m.shape[1] and 0 <= c < m.shape[0]):
+            return 0
+        near = [c + k for k in sorted(range(-margin, margin + 1), key=lambda k: (abs(k), k)) if 0 <= c + k < m.shape[0] and m[c + k, p]]
+        if not near:
+            return 0
+        low = high = near[0]
+        while low > 0 and m[low - 1, p] and near[0] - low < margin:
+            low -= 1
+        while high < m.shape[0] - 1 and m[high + 1, p] and high - near[0] < margin:
+            high += 1
+        return high - low + 1
+
+    for axis, m in ((1, mask), (0, mask.T)):
+        want = [one(m, int(c), int(p)) for c, p in zip(across, along)]
+        assert px.line_widths(mask, along, across, axis, margin).tolist() == want
+
+
+def test_ends_of_a_grid_are_checked(spark):
+    """A grid of three columns, 100 apart, on pages 1000 wide and 500 high."""
+    places = {
+        "good": ([(285, 400), (300, 400), (400, 400), (500, 400), (600, 400), (615, 400)], [1, 2, 3, 4]),
+        "out": ([(185, 400), (200, 400), (300, 400), (400, 400), (500, 400), (515, 400), (600, 400)], [2, 3, 4, 6]),
+        "edge": ([(85, 400), (100, 400), (200, 400), (300, 400), (400, 400), (415, 400)], [2, 3, 4, 4]),
+        "short": ([(285, 200), (300, 300), (400, 400), (500, 400), (600, 400), (700, 400), (715, 400)], [1, 2, 3, 4]),
+        "lost": ([(285, 200), (300, 300), (400, 400), (500, 400), (600, 400), (615, 400)], [1, 2, 3, 4]),
+    }
+    places["edge"] = (places["edge"][0] + [(500, 400), (515, 400)], [2, 3, 4, 6])
+    lines = spark.createDataFrame([(p, k, float(x), float(n)) for p, (ls, _) in places.items() for k, (x, n) in enumerate(ls)], "page string, id int, x double, length double")
+    chosen = spark.createDataFrame([(p, ids) for p, (_, ids) in places.items()], "page string, ids array<int>")
+    pages = spark.createDataFrame([(p, 1000, 500) for p in places], "page string, page_width int, page_height int")
+    got = {r["page"]: (r["ids"], r["spacing"]) for r in eq.checked_ends(lines, chosen, pages, ["page"], 3).collect()}
+    assert got["good"] == ([1, 2, 3, 4], 100.0)
+    assert got["out"] == ([1, 2, 3, 4], 100.0)  # the left end has no companion, the line outside it has
+    assert got["edge"] == ([2, 3, 4, 6], 100.0)  # that line is in the edge zone
+    assert got["short"] == ([2, 3, 4, 5], 100.0)
+    assert "lost" not in got
