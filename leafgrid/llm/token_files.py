@@ -54,12 +54,12 @@ class WordEncoder:
     turn, and each distinct word is encoded once.  New words go to the tokenizer in one
     call: words of letters alone end where an id ends a word, others have a mark of a
     known id between them.  The memory has two generations: when the young one is full
-    it becomes the old one, from which words are taken back as they come up.
+    it becomes the old one, from which words are taken back as they come up.  Texts are
+    UTF-8 throughout; only new words become strings.
     """
 
-    WORD = re.compile(r"[^\x20\x09-\x0D]+")
     MARK = "~"
-    STOP = re.compile(r"(?<=[a-z])([.,])(?![^\x20\x09-\x0D])")
+    STOP = re.compile(rb"[.,](?<=[a-z].)(?![^\x20\x09-\x0D])")
 
     def __init__(self, path: str, kind: str = "<u4", cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,8 +67,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind, self.limit = np.dtype(kind), cache_words
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
@@ -85,11 +85,12 @@ class WordEncoder:
             return False
         packed, size, start = ids.tobytes(), self.kind.itemsize, 0
         for w, end in zip(words, cuts):
-            self.known[w] = packed[start * size : end * size]
+            self.known[w.encode("utf-8", "surrogatepass")] = packed[start * size : end * size]
             start = end + gap
         return True
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
+        missing = [w.decode("utf-8", "surrogatepass") for w in new]
         letters = [w for w in missing if w.isalpha()]
         if letters:
             ids = np.array(self._ids(" ".join(letters)), dtype=self.kind)
@@ -99,30 +100,32 @@ class WordEncoder:
         if plain:
             ids = np.array(self._ids(f" {self.MARK} ".join(plain)), dtype=self.kind)
             self._pack(plain, ids, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], 1)
-        for w in missing:
+        for w in new:
             if w not in self.known:
-                self.known[w] = np.array(self._ids(w), dtype=self.kind).tobytes()
-
-    def _words(self, text: str) -> list[str]:
-        """The words, where the tokenizer allows it in lower case and without the one stop
-        or comma that ends them, which makes fewer distinct ones."""
-        if self.folds and "<|" not in text:
-            text = self.STOP.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-        return self.WORD.findall(text)
-
-    def encode(self, text: str) -> bytes:
-        found = self._words(text)
-        ids = list(map(self.known.get, found))
-        if None in ids:
-            missing = dict.fromkeys(w for w, known in zip(found, ids) if known is None)
-            if len(self.known) > self.limit:
-                self.old, self.known = self.known, {}
-                missing = dict.fromkeys(found)
-            again = {w: self.old[w] for w in missing if w in self.old}
-            self.known.update(again)
-            self._learn([w for w in missing if w not in again])
-            ids = map(self.known.__getitem__, found)
-        return b"".join(ids)
+                self.known[w] = np.array(self._ids(w.decode("utf-8", "surrogatepass")), dtype=self.kind).tobytes()
+
+    def _words(self, text: bytes) -> list[bytes]:
+        """The words (bytes are split at \\x20 and \\x09-\\x0D alone), where the tokenizer allows
+        it in lower case and without the one stop or comma that ends them, which makes fewer
+        distinct ones."""
+        if self.folds and b"<|" not in text:
+            text = self.STOP.sub(rb" \g<0>", text.lower())
+        return text.split()
+
+    def encode(self, text: str | bytes) -> bytes:
+        found = self._words(text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text)
+        try:
+            return b"".join(map(self.known.__getitem__, found))
+        except KeyError:
+            missing = dict.fromkeys(found)
+        if len(self.known) > self.limit:
+            self.old, self.known = self.known, {}
+        else:
+            missing = [w for w in missing if w not in self.known]
+        again = {w: self.old[w] for w in missing if w in self.old}
+        self.known.update(again)
+        self._learn([w for w in missing if w not in again])
+        return b"".join(map(self.known.__getitem__, found))
 
 
 @functools.lru_cache(maxsize=2)
@@ -155,8 +158,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
         total, offsets, ids, nulls = 0, [0], [], []
         with open(f"{root}/{name}.ids{mark}", "wb") as out:
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    got = words.encode(text.as_py() or "") + end
+                texts = batch.column(1)
+                texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
+                for doc, text in zip(batch.column(0).to_pylist(), texts):
+                    got = words.encode(text.as_py() or b"") + end
                     out.write(got)
                     total += len(got) // size
                     offsets.append(total)
