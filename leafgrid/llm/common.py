@@ -60,18 +60,44 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def lean(mapper: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: What this worker keeps from task to task, one thing at a time.
+KEPT: dict = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What the worker keeps under ``key``, made at first use in place of anything else."""
+    if key not in KEPT:
+        forget()
+        KEPT[key] = make()
+    return KEPT[key]
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def forget() -> None:
+    if KEPT:
+        KEPT.clear()
+        give_back()
+
+
+def lean(mapper: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapper whose worker gives freed memory back when the task ends: workers live on
-    beside the executor's own memory, and what they keep adds up over the stages of a job."""
+    beside the executor's own memory, and what they keep adds up over the stages of a job.
+    Unless it ``keeps``, it starts by freeing what another mapper has :func:`kept`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         try:
             yield from mapper(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return run
 

@@ -14,7 +14,6 @@ and renames at the end, so a repeated or lost attempt leaves the same whole file
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, new_path, table
+from .common import kept, lean, new_path, table
 
 END_ID = 2
 #: Words of a generation of a worker's memory.
@@ -128,10 +127,9 @@ class WordEncoder:
         return b"".join(map(self.known.__getitem__, found))
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str, kind: str) -> WordEncoder:
-    """The worker's own encoder, kept from task to task."""
-    return WordEncoder(path, kind)
+    """The worker's own encoder, kept from task to task until another operator's task runs."""
+    return kept((path, kind), lambda: WordEncoder(path, kind))
 
 
 def _vocabulary(path: str) -> int:
@@ -171,14 +169,14 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
             out.write(np.array(offsets, dtype="<i8").tobytes())
         with open(f"{root}/{name}.doc{mark}", "wb") as out:
             out.write(np.array(ids, dtype="<i8").tobytes() + np.array(nulls, dtype="u1").tobytes())
-        for kept in ("ids", "off", "doc"):
-            os.replace(f"{root}/{name}.{kept}{mark}", f"{root}/{name}.{kept}")
+        for ending in ("ids", "off", "doc"):
+            os.replace(f"{root}/{name}.{ending}{mark}", f"{root}/{name}.{ending}")
         yield pa.RecordBatch.from_pydict({"shard": pa.array([part], pa.int32()), "docs": [len(ids)], "ids": [total], "name": [name]})
 
     order = [F.col("doc_id"), F.col("tie")]
     narrow = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     dealt = narrow.repartitionByRange(partitions, *order) if partitions else narrow.repartitionByRange(*order)
-    rows = dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(lean(shard), WRITTEN).collect()
+    rows = dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(lean(shard, keeps=True), WRITTEN).collect()
     base, manifest = 0, []
     for r in sorted(rows, key=lambda r: r["shard"]):
         manifest.append({"name": r["name"], "docs": r["docs"], "ids": r["ids"], "base": base, "dtype": kind})
@@ -217,7 +215,7 @@ def read_shards(spark: SparkSession, folder: str, manifest: list[dict]) -> DataF
     if not manifest:
         return spark.createDataFrame([], READ)
     rows = spark.createDataFrame([(m["name"], m["base"], m["dtype"]) for m in manifest], "name string, base long, dtype string")
-    return rows.repartition(len(manifest)).mapInArrow(lean(read), READ)
+    return rows.repartition(len(manifest)).mapInArrow(lean(read, keeps=True), READ)
 
 
 def default_tokenizer() -> str:

@@ -1,9 +1,12 @@
+import gc
 import json
+import weakref
 import zlib
 
 import numpy as np
 import pytest
 from leafgrid.llm import token_files as tf
+from leafgrid.llm.common import lean
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +57,13 @@ def test_empty_table(spark, documents):
 def test_other_stores_are_refused():
     with pytest.raises(ValueError):
         tf.local_path("hdfs://name/out")
+
+
+def test_a_worker_frees_its_encoder_for_other_operators():
+    path = tf.default_tokenizer()
+    held = weakref.ref(tf.encoder(path, "<u2"))
+    assert list(lean(iter, keeps=True)(iter([1, 2]))) == [1, 2] and tf.encoder(path, "<u2") is held()
+    assert list(lean(iter)(iter([1, 2]))) == [1, 2]
+    gc.collect()
+    assert held() is None
+    assert tf.encoder(path, "<u2").encode("a b") == tf.WordEncoder(path, "<u2").encode("a b")
