@@ -4,6 +4,7 @@ import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from leafgrid.llm import token_files as tf
 from leafgrid.llm.common import lean
@@ -26,6 +27,35 @@ def test_words_encode_like_whole_texts(tokenizer):
         assert np.frombuffer(enc.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_plain_words_cost_a_piece_each_and_the_model_alone(tokenizer, monkeypatch):
+    enc = tf.WordEncoder(tf.default_tokenizer(), "<u2")
+    monkeypatch.setattr(enc, "_ids", None)  # the whole tokenizer, with its rules
+    text = "Übung übung!!! ÜBUNG%%% (übung), übung.*** x2y22 élan; \u00d6L"
+    assert np.frombuffer(enc.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    pieces = "übung !!! %%% ( ), .*** x 2 y élan ; öl"
+    assert sorted(enc.known) == sorted(p.encode() for p in pieces.split())
+
+
+def test_texts_encoded_at_once(tokenizer, tmp_path, monkeypatch):
+    texts = [*ODD, "", "X\u00c9, \u00d7\u00f7 \u00e9\u0301 a\u00a0b", " ".join(ODD), None, "a\r\n1.5 ", "<|", "|>", "'s", "\u00dfs"]
+    spec = json.load(open(tf.default_tokenizer()))
+    spec["normalizer"]["normalizers"].pop()  # other rules: no lower case
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    for path, plain in ((tf.default_tokenizer(), True), (str(tmp_path / "other.json"), False)):
+        enc = tf.WordEncoder(path, "<u2", cache_words=3)
+        assert (enc.model is not None) == plain
+        wanted = [[*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+        for size in (1, 9, 1 << 19):
+            monkeypatch.setattr(tf, "GROUP_BYTES", size)
+            column = pa.array(texts).cast(pa.binary())
+            got, ends = [], []
+            for some, last in tf.groups(column):
+                ids, upto = enc.encode_all(some, b"\x02\x00", last)
+                ends += [len(got) + n for n in upto.tolist()]
+                got += ids.tolist()
+            assert [got[a:b] for a, b in zip([0, *ends], ends)] == wanted and ends[-1] == len(got)
+
+
 def test_round_trip(spark, documents, hard_rows, tokenizer, tmp_path):
     rows = hard_rows + [(900 + k, t, "en", "a") for k, t in enumerate(ODD)]
     df = documents(rows)
